@@ -6,7 +6,8 @@ none). "Best" is the greatest priority among those valid; equal priorities are r
 by the smallest value. Then each event takes the last state on or before its date: DuckDB's ``ASOF LEFT JOIN``, run
 once for each bucket, over all entities of the bucket.
 
-Defined results: an event with a NULL entity or date, or with no valid version, gets NULL; a version with a NULL start
+Defined results: an event with a NULL entity or date, or with no valid version, gets NULL (such events are spread
+over all buckets); a version with a NULL start
 or entity never holds; one that ends on or before its start never holds; repeated versions are one; events are neither
 lost nor repeated, whatever repeats on either side; empty sides are allowed.
 
@@ -87,8 +88,8 @@ def _join_bucket(events: pd.DataFrame, versions: pd.DataFrame) -> pd.DataFrame:
     import duckdb
 
     if not len(events):
-        return pd.DataFrame({"row_id": [], "value": []}).astype("object")
-    e = events[["row_id", "entity", "day"]]
+        return pd.DataFrame({"row_id": [], "carried": [], "value": []}).astype("object")
+    e = events[["row_id", "entity", "day", "carried"]]
     arrays = [versions[c].to_numpy() for c in ("entity", "start", "end", "p1", "p2", "value")]
     states = pd.DataFrame(current_states(*arrays) if len(versions) else [], columns=["entity", "day", "value"])
     states = states.astype({"entity": "object", "day": "int64", "value": "object"})
@@ -96,23 +97,29 @@ def _join_bucket(events: pd.DataFrame, versions: pd.DataFrame) -> pd.DataFrame:
         db.register("e", e)
         db.register("s", states)
         return db.execute(
-            "SELECT e.row_id, CAST(s.value AS VARCHAR) AS value FROM e ASOF LEFT JOIN s ON e.entity = CAST(s.entity AS VARCHAR) AND e.day >= s.day"
+            "SELECT e.row_id, CAST(e.carried AS VARCHAR) AS carried, CAST(s.value AS VARCHAR) AS value FROM e "
+            "ASOF LEFT JOIN s ON CAST(e.entity AS VARCHAR) = CAST(s.entity AS VARCHAR) AND e.day >= s.day"
         ).df()
 
 
-def valid_at(events: DataFrame, row_id: str, entity: Column, day: Column, versions: Versions) -> DataFrame:
-    """row_id, value: for every event with an entity and a date, the value valid then (NULL: none)."""
-    e = events.select(F.col(row_id).cast("string").alias("row_id"), entity.alias("entity"), F.unix_date(day).alias("day")).dropna()
+def valid_at(events: DataFrame, row_id: str, entity: Column, day: Column, versions: Versions, carried: Column | None = None) -> DataFrame:
+    """row_id, carried, value: for every event the value valid on its day (NULL: none), and what it carries along."""
+    carried = F.lit(None) if carried is None else carried
+    e = events.select(
+        F.col(row_id).cast("string").alias("row_id"), entity.alias("entity"), F.unix_date(day).alias("day"), carried.cast("string").alias("carried")
+    )
     total = e.count()
     size = max(BUCKET_ROWS, -(-total // 2000))
     buckets = max(8, -(-total // size))
-    hot = e.groupBy("entity").count().where(F.col("count") > size)
-    hot = F.broadcast(hot.select("entity", F.ceil(F.col("count") / size).cast("int").alias("parts")))  # at most total / size rows, 2000 at most
+    hot = e.where("entity IS NOT NULL").groupBy("entity").count().where(F.col("count") > size)
+    # At most total / size entities, and 2,000 at most: small enough for a broadcast whatever the data.
+    hot = F.broadcast(hot.select("entity", F.ceil(F.col("count") / size).cast("int").alias("parts")))
     bucket = F.pmod(F.xxhash64("entity", "salt"), F.lit(buckets)).cast("int").alias("bucket")
 
     e = e.join(hot, "entity", "left")
-    e = e.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("row_id"), F.col("parts")).cast("int"), F.lit(0)))
-    e = e.select(bucket, "row_id", "entity", "day")
+    spread = F.when(F.col("entity").isNull(), F.lit(buckets)).otherwise(F.coalesce(F.col("parts"), F.lit(1)))
+    e = e.withColumn("salt", F.pmod(F.xxhash64("row_id"), spread).cast("int"))
+    e = e.select(bucket, "row_id", "entity", "day", "carried")
 
     v = versions.rows.select(
         versions.entity.alias("entity"), F.unix_date(versions.start).cast("long").alias("start"),
@@ -121,4 +128,4 @@ def valid_at(events: DataFrame, row_id: str, entity: Column, day: Column, versio
     ).dropna(subset=["entity", "start", "value"]).fillna(0, ["p1", "p2"]).distinct()
     v = v.join(hot, "entity", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)))
     v = v.select(bucket, "entity", "start", "end", "p1", "p2", "value")
-    return e.groupBy("bucket").cogroup(v.groupBy("bucket")).applyInPandas(_join_bucket, "row_id string, value string")
+    return e.groupBy("bucket").cogroup(v.groupBy("bucket")).applyInPandas(_join_bucket, "row_id string, carried string, value string")
