@@ -37,8 +37,8 @@ from ledgerloom.storage import materialize
 
 #: Keys of one side that a bucket should hold on average, and cells of each of its three subtables.
 BUCKET_KEYS, CELLS = 16_384, 2_048
-#: 16 bytes a key: at most 32 MB are broadcast.
-BROADCAST_KEYS = 2_000_000
+#: About 110 bytes a key in Spark's hash table: at most 22 MB are broadcast, more keys are fetched by a shuffled join.
+BROADCAST_KEYS = 200_000
 _CHECK = 0x5EED
 
 
