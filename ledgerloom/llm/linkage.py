@@ -184,9 +184,10 @@ class LabelModel:
         v, n = votes.astype(int) + 1, counts.astype(float)
         self.parent = [-1] * v.shape[1]
         margin = votes.sum(axis=1)
-        q = 1 / (1 + np.exp(-1.5 * (margin - 2.5)))
+        q = 1 / (1 + np.exp(-1.5 * (margin - 0.2 * v.shape[1])))
         for k in range(self.rounds):
-            if k == self.rounds // 3:
+            # The first tree comes of the plain vote: functions that copy each other must not find a truth of their own.
+            if k % (self.rounds // 4) == 0:
                 self.parent = self._tree(v, n, q)
             self._maximise(v, n, q)
             q = self._posterior(v)
