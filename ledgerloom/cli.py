@@ -71,6 +71,12 @@ def run_day(tables: store.TableStore, day: dt.date | None, open_period: str) ->
     tables.append("recon_run_log", daily.select("business_date", "operator_code", "break_count", "variance", "recon_run_ts").withColumn("run_kind", F.lit("daily_build")))
 
 
+def backfill(tables: store.TableStore, first: dt.date, last: dt.date, open_period: str) -> None:
+    """Restate a range of days, one after the other, as the schedule would have done."""
+    for n in range((last - first).days + 1):
+        run_day(tables, first + dt.timedelta(days=n), open_period)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("step", choices=["feeds", "cdc", "fx", "plans", "reconcile", "close"])
@@ -79,6 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--specs")
     parser.add_argument("--source", help="parquet of quotes (fx) or the catalogue (plans)")
     parser.add_argument("--business-date", type=dt.date.fromisoformat)
+    parser.add_argument("--until", type=dt.date.fromisoformat, help="last day of a backfill that starts at --business-date")
     parser.add_argument("--period")
     parser.add_argument("--by", default="pipeline")
     parser.add_argument("--operators", nargs="*", default=[])
@@ -94,7 +101,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.step == "plans":
         load_plans(tables, spark.read.parquet(args.source))
     elif args.step == "reconcile":
-        run_day(tables, args.business_date, args.period or dt.date.today().strftime("%Y-%m"))
+        period = args.period or dt.date.today().strftime("%Y-%m")
+        if args.until:
+            backfill(tables, args.business_date, args.until, period)
+        else:
+            run_day(tables, args.business_date, period)
     else:
         store.close_period(tables, args.period, args.by, F.current_timestamp())
 

@@ -98,7 +98,8 @@ class LateEvents:
         events = self.events.withColumn("__is", self._lateness()).where(F.col("__is") != ON_TIME)
         same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
         joined = events.join(late, [*same, F.col(self.arrival) == F.col("__version"), F.col("__is") == F.col("__lateness")], "inner")
-        return joined.select(*[events[c] for c in self.events.columns], F.col("__lateness").alias("lateness"))
+        kept = [events[c] for c in self.events.columns if c != "lateness"]  # a column of that name gives way
+        return joined.select(*kept, F.col("__lateness").alias("lateness"))
 
 
 def apply_deltas(deltas: DataFrame, group: list[str]) -> DataFrame:

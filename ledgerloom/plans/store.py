@@ -85,6 +85,11 @@ class TableStore:
             self.replace(name, df)
 
 
+def export_csv(df: DataFrame, path: str) -> None:
+    """For people and spreadsheets; the tables themselves are parquet."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
 def closed_months(periods: DataFrame) -> DataFrame:
     return periods.where("status = 'closed'").select("period_month").distinct()
 

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,7 +40,15 @@ def _remove_local() -> None:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{os.getpid()}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{os.getpid()}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete this driver's intermediate tables. To be called once no result that was built on them is read any more."""
+    while _WRITTEN:
+        drop_path(spark, _WRITTEN.pop())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
