@@ -128,28 +128,22 @@ _REMARK_UNIT = r"^(?:amount |value )?(?:is )?(?:in |unit: ?)(.+)$"
 _NUMBER = r"(-?\s*\d[\d.,'\s]*)(k(?![a-z]))?"
 
 
-def parse_number(text: Column, decimal_comma: Column) -> Column:
-    """The number in a text, as double; text around it is ignored, a trailing k multiplies by 1000.
+def with_number(df: DataFrame, text: Column, decimal_comma: Column, name: str) -> DataFrame:
+    """Adds the number in a text, as double; text around it is ignored, a trailing k multiplies by 1000.
 
     The last of two kinds of separators is the decimal one. A single separator is decimal if it is the source's decimal
-    sign or not followed by exactly three digits; one that is repeated separates thousands.
+    sign or not followed by exactly three digits; one that is repeated separates thousands. The cleaned text is a column
+    of its own, so that it is evaluated once although the rules name it often.
     """
-    raw = F.regexp_replace(F.regexp_extract(text, _NUMBER, 1), r"[\s']", "")
-    number = F.regexp_replace(raw, r"[.,]+$", "")
-    last_dot, last_comma = F.length(number) - F.locate(".", F.reverse(number)), F.length(number) - F.locate(",", F.reverse(number))
-    has_dot, has_comma = F.locate(".", number) > 0, F.locate(",", number) > 0
-    one = F.length(F.regexp_replace(number, "[^.,]", "")) == 1
-    three = F.regexp_like(number, F.lit(r"[.,]\d{3}$"))
-    own = F.when(decimal_comma, has_comma).otherwise(has_dot)
-    decimal_at_comma = F.when(has_dot & has_comma, last_comma > last_dot).otherwise(has_comma & one & (own | ~three))
-    decimal_at_dot = F.when(has_dot & has_comma, last_dot > last_comma).otherwise(has_dot & one & (own | ~three))
-    plain = (
-        F.when(decimal_at_comma, F.replace(F.replace(number, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-        .when(decimal_at_dot, F.replace(number, F.lit(","), F.lit("")))
-        .otherwise(F.regexp_replace(number, "[.,]", ""))
-    )
-    value = plain.try_cast("double")
-    return F.when(F.lower(F.regexp_extract(text, f"(?i){_NUMBER}", 2)) == "k", value * 1000).otherwise(value)
+    raw = F.regexp_replace(F.regexp_extract(text, _NUMBER, 1), r"[\s']|[.,]+$", "")
+    df = df.withColumn("__number", raw).withColumn("__thousand", F.lower(F.regexp_extract(text, f"(?i){_NUMBER}", 2)) == "k").withColumn("__comma", decimal_comma)
+    n = F.col("__number")
+    like = lambda pattern: F.regexp_like(n, F.lit(pattern))
+    at_comma = like(r"\..*,[^.]*$") | (like(r"^[^.,]*,[^.,]*$") & (F.col("__comma") | ~like(r",\d{3}$")))
+    at_dot = like(r",.*\.[^,]*$") | (like(r"^[^.,]*\.[^.,]*$") & (~F.col("__comma") | ~like(r"\.\d{3}$")))
+    plain = F.when(at_comma, F.translate(F.translate(n, ".", ""), ",", ".")).when(at_dot, F.translate(n, ",", "")).otherwise(F.translate(n, ".,", ""))
+    df = df.withColumn(name, plain.try_cast("double") * F.when(F.col("__thousand"), F.lit(1000.0)).otherwise(F.lit(1.0)))
+    return df.drop("__number", "__thousand", "__comma")
 
 
 def remark_unit(remark: Column, currency: Column) -> Column:
@@ -194,9 +188,13 @@ def quote_graph() -> dict[str, tuple[int, int]]:
     return {basis: (int(f.scale), 10 ** int(-f.shift)) for basis, (_, f) in out.items() if "/" in basis}
 
 
-def _reading(rate: Column, basis: str) -> Column:
-    sign, scale = quote_graph()[basis]
-    return (rate if sign == 1 else F.lit(1.0) / rate) / scale
+def _rate(quote: Column, basis: Column) -> Column:
+    """The quote read in a basis. The basis is looked up, not branched on: each column is named once, which keeps the
+    generated code small."""
+    graph = quote_graph()
+    sign = F.create_map(*[x for b, (s, _) in graph.items() for x in (F.lit(b), F.lit(float(s)))])[basis]
+    scale = F.create_map(*[x for b, (_, m) in graph.items() for x in (F.lit(b), F.lit(float(m)))])[basis]
+    return F.pow(quote, sign) / scale
 
 
 def stated_basis(basis: Column, currency: Column, reporting: str) -> Column:
@@ -225,14 +223,18 @@ def normalized_quotes(fx: DataFrame, reporting: str = "USD") -> DataFrame:
         F.col("rate_to_reporting").cast("double").alias("quote"),
         stated_basis(F.col("quote_basis"), F.trim("currency"), reporting).alias("stated"),
     ).where("quote > 0")
-    readings = list(quote_graph())
-    stated = F.coalesce(*[F.when(F.col("stated") == b, _reading(F.col("quote"), b)) for b in readings], F.col("quote"))
+    stated = F.coalesce(_rate(F.col("quote"), F.col("stated")), F.col("quote"))
     typical = q.groupBy("currency").agg(F.percentile(stated, 0.5).alias("typical"))
     q = q.join(F.broadcast(typical), "currency")
-    off = [F.struct(F.abs(F.ln(_reading(F.col("quote"), b) / F.col("typical"))).alias("off"), F.lit(0 if b == "direct/1" else 1).alias("rank"), F.lit(b).alias("basis")) for b in readings]
-    guess = F.when(F.col("currency") == reporting, F.lit("direct/1")).otherwise(F.array_min(F.array(*off))["basis"])
+    options = F.array(*[
+        F.struct(F.lit(int(b != "direct/1")).alias("rank"), F.lit(b).alias("basis"), F.lit(float(s)).alias("sign"), F.lit(float(m)).alias("scale"))
+        for b, (s, m) in quote_graph().items()
+    ])
+    off = lambda o: F.abs(F.ln(F.pow("quote", o["sign"]) / o["scale"] / F.col("typical")))
+    nearest = F.array_min(F.transform(options, lambda o: F.struct(off(o).alias("off"), o["rank"].alias("rank"), o["basis"].alias("basis"))))
+    guess = F.when(F.col("currency") == reporting, F.lit("direct/1")).otherwise(nearest["basis"])
     q = q.withColumn("basis", F.coalesce("stated", guess))
-    rate = F.coalesce(*[F.when(F.col("basis") == b, _reading(F.col("quote"), b)) for b in readings])
+    rate = _rate(F.col("quote"), F.col("basis"))
     return q.select("currency", "rate_date", "quote", "basis", rate.alias("rate"))
 
 

@@ -11,7 +11,7 @@ from ledgerloom.operators.copies import Side, copy_differences
 from ledgerloom.operators.exactly_once import repeated_deliveries
 from ledgerloom.operators.instants import InstantDictionary
 from ledgerloom.operators.late_events import LateEvents
-from ledgerloom.operators.units import amount_in_main_units, daily_quotes, normalized_quotes, parse_number
+from ledgerloom.operators.units import amount_in_main_units, daily_quotes, normalized_quotes, with_number
 from ledgerloom.storage import materialize
 
 
@@ -94,12 +94,12 @@ def _raw_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source_file, source_row, raw_amount in main units, of the raw records of all operators."""
     feed = table(spark, sf_dir, "operator_feed").select("source_file", "source_row", "operator_code", "amount", "ccy", "remark")
     feed = feed.join(_registry(spark, sf_dir), "operator_code", "left")
-    number = parse_number(F.col("amount"), F.coalesce("decimal_comma", F.lit(False)))
-    feed = amount_in_main_units(feed, F.col("ccy"), F.col("remark"), F.col("own_currency"), number, False)
+    feed = with_number(feed, F.col("amount"), F.coalesce("decimal_comma", F.lit(False)), "number")
+    feed = amount_in_main_units(feed, F.col("ccy"), F.col("remark"), F.col("own_currency"), F.col("number"), False)
     b = table(spark, sf_dir, "telco_b_feed").select("source_file", "source_row", "transaction.value_minor", "transaction.currency", "remark")
     b = amount_in_main_units(b, F.col("currency"), F.col("remark"), F.lit("PKR"), F.col("value_minor").cast("double"), True)
     columns = ["source_file", "source_row", F.col("main_amount").alias("raw_amount")]
-    return feed.select(*columns).unionByName(b.select(*columns)).where("raw_amount IS NOT NULL")
+    return feed.select(*columns).unionByName(b.select(*columns))
 
 
 def _with_quote(spark: SparkSession, sf_dir: str, rows: DataFrame, currency: str, day: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.units import (
-    Affine, ConversionGraph, UnitConflict, amount_in_main_units, daily_quotes, money_graph, normalized_quotes, parse_number, quote_graph,
+    Affine, ConversionGraph, UnitConflict, amount_in_main_units, daily_quotes, money_graph, normalized_quotes, quote_graph, with_number,
 )
 
 
@@ -40,7 +40,8 @@ def test_money_graph_is_consistent():
      ("1,056.00", True, 1056), ("1.234.567", True, 1234567), ("n/a", False, None), ("", False, None), (None, True, None), ("x" * 9000 + "7", False, 7)],
 )
 def test_parse_number(spark, text, comma, value):
-    got = spark.createDataFrame([(text, comma)], "t string, c boolean").select(parse_number(F.col("t"), F.col("c"))).first()[0]
+    got = spark.createDataFrame([(text, comma)], "t string, c boolean")
+    got = with_number(got, F.col("t"), F.col("c"), "n").first()["n"]
     assert got == value or abs(got - value) < 1e-9
 
 
