@@ -54,6 +54,35 @@ def exact_pairs(p: DataFrame, i: DataFrame, rules: Rules = Rules()) -> DataFrame
     return _side(p, "p").join(_side(i, "i"), on)
 
 
+def outer_pairs(p: DataFrame, i: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The exact pairs and both sides' unpaired rows in one full outer join: p_ and i_ columns, NULL on the side that is
+    lacking. Rows without an id get a key of their own, so that they meet nothing and are spread over all partitions."""
+    own = lambda x: F.coalesce(F.col(f"{x}_partner_txn_id"), F.concat(F.lit(f"\x00{x}"), F.col(f"{x}_event_id"))).alias(f"{x}_key")
+    a, b = _side(p, "p"), _side(i, "i")
+    on = [F.col("p_operator_code") == F.col("i_operator_code"), F.col("p_key") == F.col("i_key"), _close(rules)]
+    return a.select("*", own("p")).join(b.select("*", own("i")), on, "full_outer").drop("p_key", "i_key")
+
+
+def lonely(joined: DataFrame, prefix: str) -> DataFrame:
+    """One side's unpaired rows of ``outer_pairs``, as a ledger."""
+    other = {"p": "i", "i": "p"}[prefix]
+    return joined.where(F.col(f"{other}_event_id").isNull()).select(*[F.col(f"{prefix}_{c}").alias(c) for c in LEDGER])
+
+
+def outer_rows(joined: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """``outer_pairs`` in the shape of the fact, without a second pass over either side."""
+    p, i = F.col("p_event_id").isNotNull(), F.col("i_event_id").isNotNull()
+    either = lambda c: F.coalesce(f"p_{c}", f"i_{c}").alias(c)
+    category = F.when(~i, "missing_on_platform").when(~p, "missing_at_partner").when(amounts_agree(rules), "matched").otherwise("amount_mismatch")
+    return joined.select(
+        either("operator_code"), either("partner_txn_id"), F.col("p_event_id").alias("partner_event_id"), F.col("i_event_id").alias("platform_event_id"),
+        F.col("p_identity").alias("p_user_id"), F.col("i_identity").alias("i_user_id"), either("txn_type"), either("plan_code"), either("business_date"),
+        F.col("i_business_date").alias("platform_business_date"), F.col("p_amount").alias("partner_amount"), F.col("i_amount").alias("internal_amount"),
+        F.greatest("p_arrival", "i_arrival").alias("file_arrival_date"), F.when(p & i, F.lit(1.0)).otherwise(F.lit(0.0)).alias("match_confidence"),
+        F.when(p & i, F.lit("partner_txn_id")).otherwise(F.lit("unmatched")).alias("match_method"), category.alias("break_category"),
+    )
+
+
 def multi_matches(pairs: DataFrame) -> DataFrame:
     """Diagnostic: events that take part in several exact pairs."""
     many = pairs.groupBy("p_event_id").count().where("count > 1")

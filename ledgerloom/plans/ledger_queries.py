@@ -85,11 +85,7 @@ def periods(spark: SparkSession) -> DataFrame:
 
 def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact without fallback: exact pairs and residuals, overlaid, routed and priced."""
-    p, i = partner_ledger(spark, sf_dir), platform_ledger(spark, sf_dir)
-    pairs = M.exact_pairs(p, i)
-    none = spark.createDataFrame([], "p_event_id string, i_event_id string, confidence decimal(6,3)")
-    rows = M.pair_rows(pairs, "partner_txn_id", F.lit(1.0))
-    rows = rows.unionByName(M.single_rows(M.residuals(p, pairs, none, "p"), True)).unionByName(M.single_rows(M.residuals(i, pairs, none, "i"), False))
+    rows = M.outer_rows(M.outer_pairs(partner_ledger(spark, sf_dir), platform_ledger(spark, sf_dir)))
     rows = R.late_overlay(R.orphan_overlay(rows, churn(spark, sf_dir)))
     rows = R.with_ids(R.route_periods(rows, periods(spark), OPEN_PERIOD), F.lit(RUN).cast("timestamp"))
     plans = TP.intervals(plan_versions(spark, sf_dir), ["operator_code", "plan_code"], "effective_from")
@@ -133,9 +129,8 @@ def asof_identity(spark, sf_dir):
 
 def _scored(spark, sf_dir):
     p = R.resolve_identity(partner_ledger(spark, sf_dir), bridge(spark, sf_dir))
-    i = platform_ledger(spark, sf_dir)
-    exact = M.exact_pairs(p, i)
-    return M.candidates(M.unused(p, exact, "p"), M.unused(i, exact, "i"))
+    joined = M.outer_pairs(p, platform_ledger(spark, sf_dir))
+    return M.candidates(M.lonely(joined, "p"), M.lonely(joined, "i"))
 
 
 def fallback_scored(spark, sf_dir):

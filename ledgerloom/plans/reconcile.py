@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import NULL_MARK
 from ledgerloom.functions.money import converted, variance, within_tolerance
-from ledgerloom.operators.matching import Rules, above_floor, assign, candidates, exact_pairs, pair_rows, residuals, single_rows, unused
+from ledgerloom.operators.matching import Rules, above_floor, assign, candidates, lonely, outer_pairs, outer_rows, pair_rows, residuals, single_rows
 from ledgerloom.operators.temporal import join_valid
 from ledgerloom.storage import materialize
 
@@ -86,16 +86,19 @@ def with_ids(rows: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def match_ledgers(p: DataFrame, i: DataFrame, bridge: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Stages one to three: exact pairs, assigned fallback pairs, residuals of both sides, in the shape of the fact."""
+    """Stages one to three: exact pairs, assigned fallback pairs, residuals of both sides, in the shape of the fact.
+
+    The ledgers meet in one full outer join, written once; the fallback works on its unpaired rows only."""
     p = resolve_identity(p.where(F.col("txn_type").isin(*rules.money)), bridge)
     i = i.where(F.col("txn_type").isin(*rules.money))
-    exact = exact_pairs(p, i, rules)
-    scored = materialize(candidates(unused(p, exact, "p"), unused(i, exact, "i"), rules), "candidates")
+    joined = materialize(outer_pairs(p, i, rules), "pairs")
+    exact = joined.where("p_event_id IS NOT NULL AND i_event_id IS NOT NULL")
+    p_rest, i_rest = lonely(joined, "p"), lonely(joined, "i")
+    scored = materialize(candidates(p_rest, i_rest, rules), "candidates")
     fallback = assign(above_floor(scored, rules))
-    pairs = pair_rows(exact, "partner_txn_id", F.lit(1.0), rules).unionByName(pair_rows(fallback, "fallback_identity", F.col("confidence"), rules))
-    used = exact.select("p_event_id", "i_event_id").unionByName(fallback.select("p_event_id", "i_event_id"))
-    p_only = single_rows(residuals(p, used, scored, "p", rules), True)
-    i_only = single_rows(residuals(i, used, scored, "i", rules), False)
+    pairs = outer_rows(exact, rules).unionByName(pair_rows(fallback, "fallback_identity", F.col("confidence"), rules))
+    p_only = single_rows(residuals(p_rest, fallback, scored, "p", rules), True)
+    i_only = single_rows(residuals(i_rest, fallback, scored, "i", rules), False)
     return pairs.unionByName(p_only).unionByName(i_only)
 
 
