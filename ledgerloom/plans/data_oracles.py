@@ -1,6 +1,7 @@
 """DuckDB statements equal to the pN_ queries that SQL can express."""
 
 from ledgerloom.functions.keys import ABSENT
+from ledgerloom.operators.units import CURRENCIES, money_graph
 
 _ABSENT = ", ".join(f"'{a}'" for a in ABSENT)
 _BARE = "regexp_replace(upper(partner_txn_id), '[^A-Z0-9]', '', 'g')"
@@ -57,7 +58,78 @@ u AS (SELECT e.break_id, arg_max(b.user_id, b.effective_from) AS uid FROM e JOIN
 SELECT e.break_id, 'plan_sk' AS field FROM e LEFT JOIN v USING (break_id) WHERE e.plan_sk IS DISTINCT FROM v.sk
 UNION ALL SELECT e.break_id, 'p_user_id' FROM e LEFT JOIN u USING (break_id) WHERE e.p_user_id IS DISTINCT FROM u.uid"""
 
+
+def _units() -> str:
+    graph, canonical = money_graph()
+    quote = lambda u: u.replace("'", "''")
+    rows = ", ".join(f"('{quote(u)}', '{to.upper()}', {float(f.scale)!r}::DOUBLE, {u == to})" for u, (to, f) in sorted(graph.compositions(canonical).items()))
+    minor = ", ".join(f"('{c[0]}', {10.0 ** -c[1]!r}::DOUBLE)" for c in CURRENCIES)
+    return f"units AS (SELECT * FROM (VALUES {rows}) t(unit, currency, scale, plain)), minors AS (SELECT * FROM (VALUES {minor}) t(currency, scale))"
+
+
+def _text(column: str) -> str:
+    return rf"trim(regexp_replace(lower({column}), '\s+', ' ', 'g'))"
+
+
+def _main(source: str, unit: str, remark: str, own: str, number: str, default: str, keep: str) -> str:
+    """Amounts of ``source`` in main units, by unit text and remark."""
+    named = rf"coalesce(nullif(regexp_extract({_text(remark)}, '^(?:amount |value )?(?:is )?(?:in |unit: ?)(.+)$', 1), ''), nullif({_text(remark)}, ''))"
+    return f"""(WITH a AS (SELECT s.*, u.currency AS uc, u.scale AS us, u.plain AS up, coalesce(u.currency, {own}) AS cur, {named} AS named FROM {source} s LEFT JOIN units u ON {_text(unit)} = u.unit),
+      b AS (SELECT a.*, r.currency AS rc, r.scale AS rs, r.plain AS rp FROM a LEFT JOIN units r ON r.unit = CASE WHEN regexp_matches(named, '^minor( units?)?$') THEN lower(cur) || ' minor' ELSE named END)
+      SELECT {keep}, {number} * coalesce(CASE WHEN NOT rp THEN rs END, CASE WHEN NOT up THEN us END, {default}) AS main, coalesce(rc, cur) AS main_currency FROM b LEFT JOIN minors m ON m.currency = b.cur)"""
+
+
+_QUOTES = r"""q0 AS (SELECT upper(trim(currency)) AS currency, rate_date, CAST(rate_to_reporting AS DOUBLE) AS quote, lower(trim(quote_basis)) AS t FROM fx_raw WHERE rate_to_reporting > 0),
+readings AS (SELECT * FROM (VALUES ('direct/1', 1.0::DOUBLE, 1.0::DOUBLE, 0), ('direct/100', 1, 100, 1), ('direct/1000', 1, 1000, 1), ('inverse/1', -1, 1, 1), ('inverse/100', -1, 100, 1), ('inverse/1000', -1, 1000, 1)) r(basis, sign, scale, rank)),
+q1 AS (SELECT *, CASE WHEN t <> '' THEN CASE WHEN currency = 'USD' THEN 'direct' WHEN contains(t, '=') THEN CASE WHEN regexp_matches(t, '^1 usd') THEN 'inverse' ELSE 'direct' END
+    WHEN t = lower(currency) || ' per usd' THEN 'inverse' ELSE 'direct' END || CASE WHEN regexp_matches(t, 'mille|1000') THEN '/1000' WHEN regexp_matches(t, 'hundred|\b100\b') THEN '/100' ELSE '/1' END END AS stated FROM q0),
+typical AS (SELECT q1.currency, quantile_cont(coalesce(pow(quote, r.sign) / r.scale, quote), 0.5) AS typical FROM q1 LEFT JOIN readings r ON r.basis = q1.stated GROUP BY 1),
+guesses AS (SELECT q.currency, q.quote, first(r.basis ORDER BY abs(ln(pow(q.quote, r.sign) / r.scale / t.typical)), r.rank, r.basis) AS guess FROM (SELECT DISTINCT currency, quote FROM q1) q JOIN typical t USING (currency) CROSS JOIN readings r GROUP BY ALL),
+q2 AS (SELECT q1.currency, rate_date, q1.quote, coalesce(stated, CASE WHEN q1.currency = 'USD' THEN 'direct/1' ELSE guess END) AS basis FROM q1 JOIN guesses g ON g.currency = q1.currency AND g.quote = q1.quote),
+quotes AS (SELECT q2.currency, rate_date, quote, q2.basis, pow(quote, r.sign) / r.scale AS rate FROM q2 JOIN readings r USING (basis)),
+daily AS (SELECT currency, rate_date, quantile_cont(rate, 0.5) AS rate FROM quotes GROUP BY ALL)"""
+
+_RAW = r"regexp_replace(regexp_extract(amount, '(-?\s*\d[\d.,''\s]*)', 1), '[\s'']|[.,]+$', '', 'g')"
+_FED = rf"""fed AS (SELECT f.*, g.currency AS own, {_RAW} AS n, coalesce(g.decimal_comma, false) AS dc, regexp_matches(lower(amount), '\d[\d.,''\s]*k($|[^a-z])') AS k FROM operator_feed f LEFT JOIN operator_registry g USING (operator_code)),
+fed2 AS (SELECT *, TRY_CAST(CASE WHEN regexp_matches(n, '\..*,[^.]*$') OR (regexp_matches(n, '^[^.,]*,[^.,]*$') AND (dc OR NOT regexp_matches(n, ',\d{{3}}$'))) THEN replace(replace(n, '.', ''), ',', '.')
+    WHEN regexp_matches(n, ',.*\.[^,]*$') OR (regexp_matches(n, '^[^.,]*\.[^.,]*$') AND (NOT dc OR NOT regexp_matches(n, '\.\d{{3}}$'))) THEN replace(n, ',', '') ELSE replace(replace(n, '.', ''), ',', '') END AS DOUBLE) * CASE WHEN k THEN 1000 ELSE 1 END AS number FROM fed),
+tb AS (SELECT source_file, source_row, "transaction".value_minor AS number, "transaction".currency AS ccy, remark FROM telco_b_feed),
+own AS (SELECT p.*, g.currency AS own, CAST(NULL AS VARCHAR) AS none FROM partner_txn p LEFT JOIN operator_registry g USING (operator_code) WHERE amount_original IS NOT NULL)"""
+_P4 = f"""
+WITH {_units()}, {_QUOTES}, {_FED},
+ours AS {_main("own", "currency_original", "none", "own", "CAST(amount_original AS DOUBLE)", "1.0", "event_id, source_file, source_row, CAST(amount_reporting AS DOUBLE) AS reporting, least(coalesce(business_date, CAST(txn_ts_utc AT TIME ZONE 'UTC' AS DATE)), (SELECT max(rate_date) FROM daily)) AS day")},
+raw AS (SELECT * FROM {_main("fed2", "ccy", "remark", "own", "number", "1.0", "source_file, source_row")} UNION ALL
+  SELECT * FROM {_main("tb", "ccy", "remark", "'PKR'", "number", "coalesce(m.scale, 0.01)", "source_file, source_row")})
+SELECT DISTINCT 'rate' AS record_kind, currency || ':' || strftime(rate_date, '%Y%m%d') AS record_key FROM quotes WHERE basis <> 'direct/1'
+UNION ALL SELECT 'reporting', o.event_id FROM ours o ASOF JOIN daily d ON d.currency = o.main_currency AND o.day >= d.rate_date WHERE abs(o.reporting - o.main * d.rate) > abs(o.main * d.rate) * 0.1 + 1e-9
+UNION ALL SELECT DISTINCT 'original', o.event_id FROM ours o JOIN raw r ON o.source_file = r.source_file AND o.source_row = r.source_row WHERE abs(abs(o.main) - abs(r.main)) > abs(r.main) * 0.1 + 1e-9"""
+
+_ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*(.*)$"
+_OFFSET = r"^([+-])(\d{2}):?(\d{2})?$"
+_P5_FOUND = rf"""
+WITH texts AS (SELECT source_file, source_row, operator_code, trim(event_time) AS t FROM operator_feed
+  UNION ALL SELECT source_file, source_row, 'telco_b', CAST("transaction".ts_epoch_ms AS VARCHAR) FROM telco_b_feed),
+z AS (SELECT x.*, coalesce(g.timezone, 'UTC') AS zone, coalesce(g.ts_format LIKE 'M%', false) AS month_first, regexp_extract(t, '{_ISO}', 3) AS rest,
+  regexp_matches(t, '{_ISO}') AS iso FROM texts x LEFT JOIN operator_registry g USING (operator_code)),
+l AS (SELECT *, CASE WHEN iso THEN TRY_CAST(regexp_extract(t, '{_ISO}', 1) || ' ' || regexp_extract(t, '{_ISO}', 2) || CASE WHEN length(regexp_extract(t, '{_ISO}', 2)) = 5 THEN ':00' ELSE '' END AS TIMESTAMP)
+    WHEN regexp_matches(t, '^\d{{14}}$') THEN try_strptime(t, '%Y%m%d%H%M%S')
+    ELSE coalesce(try_strptime(t, '%d %b %Y %H:%M:%S'), try_strptime(t, '%b %d, %Y %I:%M %p'), try_strptime(regexp_extract(t, '^[A-Z][a-z]+, (.*) GMT$', 1), '%d %b %Y %H:%M:%S'),
+      CASE WHEN month_first THEN coalesce(try_strptime(t, '%m/%d/%Y %I:%M:%S %p'), try_strptime(t, '%m/%d/%Y %H:%M:%S')) ELSE try_strptime(t, '%d/%m/%Y %H:%M:%S') END) END AS local,
+  CASE WHEN iso AND rest IN ('Z', 'UTC', 'GMT') OR t LIKE '% GMT' THEN 0 WHEN iso AND regexp_matches(rest, '{_OFFSET}') THEN
+      (CASE WHEN rest LIKE '-%' THEN -1 ELSE 1 END) * (CAST(regexp_extract(rest, '{_OFFSET}', 2) AS INTEGER) * 60 + coalesce(TRY_CAST(regexp_extract(rest, '{_OFFSET}', 3) AS INTEGER), 0))
+    WHEN iso THEN CASE rest WHEN 'WAT' THEN 60 WHEN 'CET' THEN 60 WHEN 'CEST' THEN 120 WHEN 'TRT' THEN 180 WHEN 'PKT' THEN 300 WHEN 'EST' THEN -300 WHEN 'EDT' THEN -240 END END AS shift,
+  coalesce(nullif(regexp_extract(rest, '^\[([A-Za-z_/]+)\]$', 1), ''), zone) AS at_zone FROM z),
+i AS (SELECT source_file, source_row, CASE WHEN regexp_matches(t, '^\d{{10}}$') THEN make_timestamp(CAST(t AS BIGINT) * 1000000) WHEN regexp_matches(t, '^\d{{13}}$') THEN make_timestamp(CAST(t AS BIGINT) * 1000)
+    WHEN regexp_matches(t, '^\d{{16}}$') THEN make_timestamp(CAST(t AS BIGINT)) WHEN shift IS NOT NULL THEN local - to_minutes(shift)
+    WHEN iso AND rest <> '' AND rest NOT LIKE '[%' THEN NULL
+    WHEN timezone(at_zone, timezone(at_zone, local) - INTERVAL 1 HOUR) = local THEN timezone('UTC', timezone(at_zone, local) - INTERVAL 1 HOUR) ELSE timezone('UTC', timezone(at_zone, local)) END AS instant FROM l)
+SELECT DISTINCT p.event_id FROM partner_txn p JOIN i USING (source_file, source_row)
+WHERE abs(epoch_us(timezone('UTC', p.txn_ts_utc)) - epoch_us(i.instant)) > 60000000"""
+
 ORACLES = {
+    "p5_found": _P5_FOUND,
+    "p4_found": _P4,
+    "p4_quotes": f"WITH {_QUOTES} SELECT currency, rate_date, quote, basis, round(rate, 8) AS rate FROM quotes",
     "p1_found": _P1,
     "p2_found": f"SELECT event_id FROM ({_RANKED}) WHERE rn > 1 AND id IS NOT NULL AND operator_code IS NOT NULL",
     "p3_found": _P3_FOUND,

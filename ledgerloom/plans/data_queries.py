@@ -131,7 +131,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every quote in reporting currency per one unit, with the basis it was read in."""
-    return normalized_quotes(table(spark, sf_dir, "fx_raw"))
+    return normalized_quotes(table(spark, sf_dir, "fx_raw")).withColumn("rate", F.round("rate", 8))
 
 
 # -------------------------------------------------------------------------------------------------------- 5: instants
