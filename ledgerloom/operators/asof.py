@@ -13,7 +13,7 @@ lost nor repeated, whatever repeats on either side; empty sides are allowed.
 
 Scale: entities are hashed to buckets whose number follows the rows, so a task joins a bounded number of events. Events
 of a hot entity (more than ``BUCKET_ROWS``) are salted over several buckets, to each of which that entity's
-versions are copied; the list of hot entities is bounded by rows / ``BUCKET_ROWS``.
+versions are copied; the list of hot entities, at most rows / ``BUCKET_ROWS``, is broadcast only if it is short.
 """
 
 from __future__ import annotations
@@ -26,8 +26,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.storage import materialize
+
 #: Events that a bucket should hold on average; an entity with more is split.
 BUCKET_ROWS = 40_000
+#: Hot entities that are broadcast at most, a few megabytes.
+BROADCAST_HOT = 50_000
 
 
 @dataclass(frozen=True)
@@ -109,11 +113,11 @@ def valid_at(events: DataFrame, row_id: str, entity: Column, day: Column, versio
         F.col(row_id).cast("string").alias("row_id"), entity.alias("entity"), F.unix_date(day).alias("day"), carried.cast("string").alias("carried")
     )
     total = e.count()
-    size = max(BUCKET_ROWS, -(-total // 2000))
-    buckets = max(8, -(-total // size))
-    hot = e.where("entity IS NOT NULL").groupBy("entity").count().where(F.col("count") > size)
-    # At most total / size entities, and 2,000 at most: small enough for a broadcast whatever the data.
-    hot = F.broadcast(hot.select("entity", F.ceil(F.col("count") / size).cast("int").alias("parts")))
+    buckets = max(8, -(-total // BUCKET_ROWS))
+    hot = e.where("entity IS NOT NULL").groupBy("entity").count().where(F.col("count") > BUCKET_ROWS)
+    hot = materialize(hot.select("entity", F.ceil(F.col("count") / BUCKET_ROWS).cast("int").alias("parts")), "hot")
+    if hot.count() <= BROADCAST_HOT:  # else a shuffled join, whose skew adaptive execution splits
+        hot = F.broadcast(hot)
     bucket = F.pmod(F.xxhash64("entity", "salt"), F.lit(buckets)).cast("int").alias("bucket")
 
     e = e.join(hot, "entity", "left")

@@ -48,6 +48,8 @@ def test_hot_entity_is_split(spark, monkeypatch):
     monkeypatch.setattr(asof, "BUCKET_ROWS", 100)
     events, versions = made(1500, 150, 2, hot=0.4)
     assert run(spark, events, versions) == plain(events, versions)
+    monkeypatch.setattr(asof, "BROADCAST_HOT", 0)
+    assert run(spark, events, versions) == plain(events, versions)
 
 
 def test_empty_sides(spark):
