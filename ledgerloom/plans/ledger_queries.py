@@ -84,10 +84,9 @@ def periods(spark: SparkSession) -> DataFrame:
 
 
 def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact without fallback: exact pairs and residuals, overlaid, routed and priced."""
-    rows = M.outer_rows(M.outer_pairs(partner_ledger(spark, sf_dir), platform_ledger(spark, sf_dir)))
-    rows = R.late_overlay(R.orphan_overlay(rows, churn(spark, sf_dir)))
-    rows = R.with_ids(R.route_periods(rows, periods(spark), OPEN_PERIOD), F.lit(RUN).cast("timestamp"))
+    """The whole fact: exact pairs, assigned fallback pairs and residuals, overlaid, routed and priced."""
+    p, i = partner_ledger(spark, sf_dir), platform_ledger(spark, sf_dir)
+    rows = R.reconcile(p, i, bridge(spark, sf_dir), churn(spark, sf_dir), periods(spark), OPEN_PERIOD, F.lit(RUN).cast("timestamp"))
     plans = TP.intervals(plan_versions(spark, sf_dir), ["operator_code", "plan_code"], "effective_from")
     fx = spark.createDataFrame([], "currency string, rate_date date, rate decimal(18,8)")
     return R.price_check(rows, plans, fx)
@@ -209,8 +208,7 @@ def drilldown_topk(spark, sf_dir):
 
 
 def review_queue(spark, sf_dir):
-    fact = fact_rows(spark, sf_dir).withColumn("match_method", F.when(F.col("match_method") == "unmatched", F.lit("fallback_below_floor")).otherwise(F.lit("fallback_identity")))
-    return marts.report(marts.REVIEW, {}, fact=fact)
+    return marts.report(marts.REVIEW, {}, fact=fact_rows(spark, sf_dir))
 
 
 def price_exceptions(spark, sf_dir):
