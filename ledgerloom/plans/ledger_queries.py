@@ -279,7 +279,7 @@ def _line_key():
 def merge_latest(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").withColumn("content", F.col("l_extendedprice").cast("string"))
     order = [F.col(c).desc() for c in ("l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax")]
-    one = TP.latest(rows.where("l_linenumber <= 4 AND l_shipdate < '1995-06-17'"), _line_key(), order)
+    one = TP.latest(rows.where("l_shipdate < '1995-06-17'"), _line_key(), order)
     out = TP.merge_latest(one, rows.where("l_shipdate >= '1995-06-17'"), _line_key(), "content", order)
     return out.select("l_orderkey", "l_linenumber", "l_extendedprice", F.to_date("l_shipdate").alias("shipped"))
 

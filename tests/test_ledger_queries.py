@@ -32,3 +32,12 @@ def test_fact_has_the_fallback_pairs(spark, orders):
 def test_review_queue_holds_weak_pairs_only(spark, orders):
     queue = [(r.partner_event_id, r.platform_event_id, r.match_method, r.match_confidence) for r in Q.review_queue(spark, orders).collect()]
     assert queue == [(None, "35", "fallback_below_floor", 0.7), ("35", None, "fallback_below_floor", 0.7), ("70", "70", "fallback_identity", 0.8)]
+
+
+def test_merge_latest_keeps_every_key(spark):
+    root, old, new = fresh_path(spark, "lines"), dt.datetime(1995, 6, 16), dt.datetime(1995, 6, 17)
+    rows = [(1, 4, old, 1.0), (1, 5, old, 2.0), (2, 7, old, 3.0), (2, 7, new, 4.0), (3, 6, new, 5.0)]
+    rows = [(*r, 1, 1, 1.0, 0.0, 0.0) for r in rows]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_shipdate timestamp, l_extendedprice double, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_tax double").write.parquet(f"{root}/lineitem.parquet")
+    merged = sorted((r.l_orderkey, r.l_linenumber, r.l_extendedprice) for r in Q.merge_latest(spark, root).collect())
+    assert merged == [(1, 4, 1.0), (1, 5, 2.0), (2, 7, 4.0), (3, 6, 5.0)]
