@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import keys as K
 from ledgerloom.operators import temporal
-from ledgerloom.plans import marts, store
+from ledgerloom.plans import marts, schemas, store
 from ledgerloom.plans.reconcile import price_check, reconcile, split_closed
 from ledgerloom.session import build_session
 from ledgerloom.sources import cdc, feeds
@@ -27,7 +27,8 @@ def ingest_feeds(tables: store.TableStore, specs: dict, landing: str, reporting:
 
 
 def ingest_cdc(tables: store.TableStore, landing: str, operators: list[str]) -> None:
-    """The operators' change-data tables into the platform ledger; an entity without any table has no rows."""
+    """The operators' change-data tables into the platform ledger, their churn table, and the links that both ledgers teach
+    (run ``ingest_feeds`` first); an entity without any table has no rows."""
     keys = {"sub_initial": "sub_id", "sub_recursion_success": "recursion_id", "sub_recursion_failure": "failure_id"}
     found = {e: cdc.read_entity(tables.spark, landing, e, operators) for e in keys}
     missing = [e for e, df in found.items() if df is None]
@@ -37,6 +38,28 @@ def ingest_cdc(tables: store.TableStore, landing: str, operators: list[str]) ->
     ledger = feeds.apply_fx(cdc.platform_ledger(latest["sub_initial"], latest["sub_recursion_success"], latest["sub_recursion_failure"]), tables.read("fx_rate_daily"), "USD")
     hashed = K.record_hash(F.col("amount_reporting"), F.col("txn_type"), F.col("txn_ts_utc"))
     tables.upsert("platform_txn", ledger.withColumn("record_hash", hashed), ["event_id"], "record_hash", [F.col("txn_ts_utc").desc()])
+    load_churn(tables, landing)
+    learn_links(tables)
+
+
+def load_churn(tables: store.TableStore, landing: str) -> None:
+    """Without a churn table nobody churned: the events known so far stay, at first none."""
+    events = cdc.churn_events(tables.spark, landing)
+    if events is None:
+        events = schemas.empty(tables.spark, "user_churn_events")
+    tables.upsert("user_churn_events", schemas.conforming(events, "user_churn_events"), ["operator_code", "user_id", "churn_ts"], "record_hash", [F.col("record_hash").desc()])
+
+
+def learn_links(tables: store.TableStore) -> None:
+    """Account to user links of exactly matched messages as versions: another user or subscription of an account closes
+    the version before it."""
+    name, hashed = "account_user_bridge", K.record_hash(F.col("user_id"), F.col("sub_id"))
+    links = schemas.empty(tables.spark, name).drop("effective_to", "is_current")
+    if tables.exists("partner_txn"):
+        links = cdc.learned_links(tables.read("platform_txn"), tables.read("partner_txn")).where("user_id IS NOT NULL").select(*links.columns)
+    if tables.exists(name) and "content" not in tables.read(name).columns:
+        tables.replace(name, tables.read(name).withColumn("content", hashed))
+    tables.upsert_versions(name, links.withColumn("content", hashed), ["operator_code", "account_id"], "effective_from", "content")
 
 
 def load_fx(tables: store.TableStore, quotes: DataFrame) -> None:

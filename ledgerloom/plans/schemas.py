@@ -14,7 +14,7 @@ SCHEMAS = {
     "account_user_bridge": "operator_code STRING, account_id STRING, user_id STRING, sub_id STRING, effective_from DATE, effective_to DATE, is_current BOOLEAN",
     "dim_plan": "plan_sk STRING, operator_code STRING, plan_code STRING, price_original DECIMAL(18,4), currency STRING, billing_period STRING, effective_from DATE, content STRING, effective_to DATE, is_current BOOLEAN",
     "fx_rate_daily": "currency STRING, rate_date DATE, rate DECIMAL(18,8)",
-    "user_churn_events": "operator_code STRING, user_id STRING, churn_ts TIMESTAMP, is_deleted BOOLEAN",
+    "user_churn_events": "operator_code STRING, user_id STRING, churn_ts TIMESTAMP, is_deleted BOOLEAN, churn_reason STRING, last_known_sub_id STRING, source_file STRING, record_hash STRING",
     "fact_reconciliation_break": """break_id STRING, operator_code STRING, partner_txn_id STRING, partner_event_id STRING, platform_event_id STRING, p_user_id STRING, i_user_id STRING, txn_type STRING,
         plan_code STRING, business_date DATE, platform_business_date DATE, partner_amount DECIMAL(18,4), internal_amount DECIMAL(18,4), variance DECIMAL(18,4), expected_amount DECIMAL(18,4),
         plan_price_ok BOOLEAN, file_arrival_date DATE, match_confidence DOUBLE, match_method STRING, break_category STRING, is_orphan_churn BOOLEAN, is_late BOOLEAN, lag_days INT, period_month STRING,

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.keys import record_hash
 from ledgerloom.functions.money import AMOUNT
 from ledgerloom.operators.temporal import latest
 
@@ -28,16 +29,32 @@ def union_with_drift(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def latest_versions(changes: DataFrame, key: str) -> DataFrame:
+def latest_versions(changes: DataFrame, *keys: str) -> DataFrame:
     """The newest version of each row per operator; deletions become is_deleted. Equal commit times: the greatest hash."""
     for column, kind in (("_commit_ts", "timestamp"), ("_op", "string")):
         if column not in changes.columns:
             changes = changes.withColumn(column, F.lit(None).cast(kind))
     rest = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(changes.columns)])
-    newest = latest(changes, ["operator_code", key], [F.col("_commit_ts").desc_nulls_last(), rest.desc()])
+    newest = latest(changes, ["operator_code", *keys], [F.col("_commit_ts").desc_nulls_last(), rest.desc()])
     return newest.withColumn("is_deleted", F.coalesce(F.col("_op") == "D", F.lit(False)))
 
 
+def churn_events(spark: SparkSession, root: str) -> DataFrame | None:
+    """The churn table of all operators, one row per operator, user and instant; None if there is none. A row that lacks a
+    part of this key tells of nobody's churn and is left out."""
+    path = f"{root}/user_churn_events"
+    if not exists(spark, path):
+        return None
+    raw = spark.read.parquet(path).withColumn("churn_ts", F.col("churn_ts").cast("timestamp"))
+    for column in ("churn_reason", "last_known_sub_id"):
+        if column not in raw.columns:
+            raw = raw.withColumn(column, F.lit(None).cast("string"))
+    keyed = raw.where("operator_code IS NOT NULL AND user_id IS NOT NULL AND churn_ts IS NOT NULL")
+    newest = latest_versions(keyed.withColumn("source_file", F.col("_metadata.file_path")), "user_id", "churn_ts")
+    content = [F.col(c) for c in ("operator_code", "user_id", "churn_ts", "churn_reason", "last_known_sub_id", "is_deleted")]
+    return newest.withColumn("record_hash", record_hash(*content))
+
+
 def platform_ledger(initial: DataFrame, success: DataFrame, failure: DataFrame, reporting: str = "USD") -> DataFrame:
     """The three entities (latest versions) as one canonical ledger; deleted rows are left out, failed sign-ups are failures."""
     text = F.lit(None).cast("string")

@@ -75,3 +75,53 @@ def test_schemas_parse_and_cleanup(spark):
     # Only what this driver wrote is deleted; tests that follow write anew.
     cleanup(spark)
     assert not os.path.exists(path)
+
+
+def test_links_and_churn_come_from_landing_files(spark):
+    root = fresh_path(spark, "learned")
+    tables, landing, oltp = TableStore(spark, f"{root}/store"), f"{root}/landing", f"{root}/oltp"
+    at = lambda month, day: dt.datetime(2026, month, day, 9)
+
+    def deliver(name, day, feed, renewals, churned):
+        os.makedirs(f"{landing}/op/{day}")
+        with open(f"{landing}/op/{day}/{name}.csv", "w") as f:
+            f.write("id,acc,kind,plan,amount,at\n" + "".join(f"{i},{a},OK,P,{m},{t.isoformat()}\n" for i, a, m, t in feed))
+        spark.createDataFrame(renewals, "recursion_id string, sub_id string, user_id string, partner_txn_id string, amount decimal(18,4), recurrence_ts timestamp, billing_cycle int").write.mode("append").parquet(f"{oltp}/sub_recursion_success_op")
+        spark.createDataFrame(churned, "user_id string, operator_code string, churn_ts timestamp, churn_reason string, last_known_sub_id string, _op string, _commit_ts timestamp").write.mode("append").parquet(f"{oltp}/user_churn_events")
+        cli.ingest_feeds(tables, feeds.load_specs(SPECS), landing)
+        for _ in range(2):  # change data delivered again changes nothing
+            cli.ingest_cdc(tables, oltp, ["op"])
+
+    cli.load_fx(tables, spark.createDataFrame([("NGN", dt.date(2026, 5, 28), Decimal("0.00065"))], "currency string, rate_date date, rate_to_reporting decimal(18,8)"))
+    cli.load_plans(tables, spark.createDataFrame([("op", "P", Decimal(1), "USD", "daily", dt.date(2026, 1, 1))], "operator_code string, plan_code string, price_original decimal(18,4), currency string, billing_period string, effective_from date"))
+    spark.createDataFrame([], "sub_id string, user_id string, partner_txn_id string, plan_id string, status string, created_ts timestamp, amount decimal(18,4)").write.parquet(f"{oltp}/sub_initial_op")
+    spark.createDataFrame([], "failure_id string, sub_id string, user_id string, partner_txn_id string, amount decimal(18,4), failure_reason string, attempt_ts timestamp, retry_count int").write.parquet(f"{oltp}/sub_recursion_failure_op")
+    one, three = Decimal(1), Decimal(3)
+    deliver(
+        "a", "2026-05-29", [("T1", "A1", 1, at(5, 28)), ("", "A1", 1, at(5, 29)), ("T2", "A2", 3, at(5, 29))],
+        [("r1", "s0", "U1", "T1", one, at(5, 28), 1), ("r2", "s0", "U1", None, one, at(5, 29), 2), ("r3", "s2", "U2", "T2", three, at(5, 29), 1)],
+        [("U2", "op", at(5, 20), "left", "s2", "I", at(5, 20)), (None, "op", at(5, 20), "?", None, "I", at(5, 20))],
+    )
+    cli.run_day(tables, None, "2026-05")
+    fact = sorted((r.business_date.day, r.match_method, r.break_category) for r in tables.read("fact_reconciliation_break").collect())
+    assert fact == [(28, "partner_txn_id", "matched"), (29, "fallback_identity", "matched"), (29, "partner_txn_id", "orphan_churn")]
+    deliver(
+        "b", "2026-06-01", [("T4", "A1", 1, at(6, 1))], [("r4", "s9", "U9", "T4", one, at(6, 1), 1)],
+        [("U2", "op", at(5, 20), "left", "s2", "D", at(5, 31))],
+    )
+    links = sorted((r.account_id, r.user_id, r.effective_from, r.effective_to, r.is_current) for r in tables.read("account_user_bridge").collect())
+    never = dt.date(9999, 12, 31)
+    assert links == [
+        ("A1", "U1", dt.date(2026, 5, 28), dt.date(2026, 6, 1), False), ("A1", "U9", dt.date(2026, 6, 1), never, True), ("A2", "U2", dt.date(2026, 5, 29), never, True),
+    ]
+    assert [(r.user_id, r.is_deleted, r.churn_reason) for r in tables.read("user_churn_events").collect()] == [("U2", True, "left")]
+
+
+def test_change_data_before_any_feed(spark):
+    root = fresh_path(spark, "early")
+    tables = TableStore(spark, f"{root}/store")
+    tables.replace("platform_txn", schemas.empty(spark, "platform_txn"))
+    tables.replace("account_user_bridge", spark.createDataFrame([("op", "A2", "U2", "s1", dt.date(2020, 1, 1), dt.date(9999, 12, 31), True)], schemas.SCHEMAS["account_user_bridge"]))
+    cli.load_churn(tables, f"{root}/nowhere")
+    cli.learn_links(tables)
+    assert tables.read("user_churn_events").count() == 0 and [r.user_id for r in tables.read("account_user_bridge").collect()] == ["U2"]
