@@ -317,7 +317,7 @@ def amount_parse(spark, sf_dir):
 
 
 def ts_parse(spark, sf_dir):
-    rows = table(spark, sf_dir, "operator_feed").where("operator_code = 'telco_a' AND event_time RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:]{8}(Z|[+-][0-9]{2}:[0-9]{2})?$'")
+    rows = table(spark, sf_dir, "operator_feed").where("operator_code = 'telco_a'")
     spec = feeds.FeedSpec("telco_a", "csv", "Africa/Lagos", "NGN", {}, {"1": "x"})
     at = feeds.parsed_instant(spec, F.col("event_time"))
     return rows.select("source_file", "source_row", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"), F.to_date(at).alias("business_date"))
@@ -325,7 +325,7 @@ def ts_parse(spark, sf_dir):
 
 def epoch_parse(spark, sf_dir):
     spec = feeds.FeedSpec("telco_b", "json", "Asia/Karachi", "PKR", {}, {"1": "x"}, ts_format="epoch_millis", amount_scale=0.01)
-    b = table(spark, sf_dir, "telco_b_feed").where("transaction.ts_epoch_ms BETWEEN 1000000000000 AND 9999999999999")
+    b = table(spark, sf_dir, "telco_b_feed")
     at = feeds.parsed_instant(spec, F.col("transaction.ts_epoch_ms"))
     return b.select("source_file", "source_row", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"), feeds.parsed_amount(spec, F.col("transaction.value_minor")).alias("amount"))
 

@@ -13,6 +13,8 @@ from ledgerloom.functions import keys as K
 from ledgerloom.functions.money import AMOUNT, RATE
 
 FORMATS = ("csv", "json")
+#: What a timestamp can hold, as milliseconds; beyond it timestamp_millis would raise.
+MOST_MILLIS = (2**63 - 1) // 1000
 
 
 @dataclass(frozen=True)
@@ -100,7 +102,8 @@ def parsed_instant(spec: FeedSpec, text: Column) -> Column:
     """UTC instant; NULL if unreadable. Text with a zone or offset and epochs are instants already; only local text is moved."""
     text = text.cast("string")
     if spec.ts_format == "epoch_millis":
-        return F.timestamp_millis(text.try_cast("bigint"))
+        millis = text.try_cast("bigint")
+        return F.when(F.abs(millis.cast("decimal(20,0)")) <= MOST_MILLIS, F.timestamp_millis(millis))
     zoned = F.regexp_like(text, F.lit(r"(Z|[+-]\d{2}:?\d{2})$"))
     pattern = None if spec.ts_format in (None, "iso8601") else spec.ts_format
     local = F.try_to_timestamp(text, F.lit(pattern)) if pattern else F.try_to_timestamp(text)

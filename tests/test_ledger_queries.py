@@ -41,3 +41,24 @@ def test_merge_latest_keeps_every_key(spark):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_shipdate timestamp, l_extendedprice double, l_partkey long, l_suppkey long, l_quantity double, l_discount double, l_tax double").write.parquet(f"{root}/lineitem.parquet")
     merged = sorted((r.l_orderkey, r.l_linenumber, r.l_extendedprice) for r in Q.merge_latest(spark, root).collect())
     assert merged == [(1, 4, 1.0), (1, 5, 2.0), (2, 7, 4.0), (3, 6, 5.0)]
+
+
+def test_ts_parse_answers_for_every_row(spark):
+    root = fresh_path(spark, "times")
+    texts = ["2026-05-29T10:00:00", "2026-05-29T10:00:00+02:00", "2026-05-29T10:00:00.250Z", "2026-05-29 10:00:00", "2026-05-29 10:00:00 WAT", "1780266214", "n/a", "", None]
+    rows = [("f", n, "telco_a", x) for n, x in enumerate(texts)] + [("f", 99, "telco_c", texts[0])]
+    spark.createDataFrame(rows, "source_file string, source_row int, operator_code string, event_time string").write.parquet(f"{root}/operator_feed.parquet")
+    got = {r.source_row: (r["at"], str(r.business_date)) for r in Q.ts_parse(spark, root).collect()}
+    none, lagos = (None, "None"), ("2026-05-29 09:00:00", "2026-05-29")
+    assert got == {0: lagos, 1: ("2026-05-29 08:00:00", "2026-05-29"), 2: ("2026-05-29 10:00:00", "2026-05-29"), 3: lagos, 4: none, 5: none, 6: none, 7: none, 8: none}
+
+
+def test_epoch_parse_answers_for_every_row(spark):
+    root = fresh_path(spark, "epochs")
+    values = [1780124480302, 0, -1, 1779736781, 1780124480302000000, None]
+    rows = [("f", n, (x, 100 + n)) for n, x in enumerate(values)]
+    spark.createDataFrame(rows, "source_file string, source_row int, transaction struct<ts_epoch_ms: long, value_minor: long>").write.parquet(f"{root}/telco_b_feed.parquet")
+    got = {r.source_row: (r["at"], float(r.amount)) for r in Q.epoch_parse(spark, root).collect()}
+    assert got == {
+        0: ("2026-05-30 07:01:20", 1.0), 1: ("1970-01-01 00:00:00", 1.01), 2: ("1969-12-31 23:59:59", 1.02), 3: ("1970-01-21 14:22:16", 1.03), 4: (None, 1.04), 5: (None, 1.05),
+    }
