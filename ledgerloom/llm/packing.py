@@ -112,25 +112,27 @@ def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
 
 def _pack_group(capacity: int):
     def run(key: tuple, items: pd.DataFrame) -> pd.DataFrame:
-        items = items.sort_values(["item", "part"], kind="stable")
+        items = items.sort_values(["row", "part"], kind="stable")
         return items.assign(container=pack(items["size"].to_numpy(np.int64), capacity))
 
     return run
 
 
 def fill_containers(df: DataFrame, row_id: str, size: str, capacity: int = CAPACITY) -> DataFrame:
-    """row id, part, first_token, n_tokens, container (a string, NULL if the item takes no room) of every piece."""
+    """row id, part, first_token, n_tokens, container (a string, NULL if the item takes no room) of every piece.
+
+    Rows are numbered once, before they are written: ids may repeat or be NULL."""
     kind = df.schema[row_id].dataType.simpleString()
-    given = df.select(F.col(row_id).alias("item"), F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("total"))
+    given = df.select(F.monotonically_increasing_id().alias("row"), F.col(row_id).alias("item"), F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).alias("total"))
     items = materialize(given, "sizes")
     whole = items.agg(F.sum("total")).first()[0] or 0
     groups = max(1, -(-whole // (capacity * GROUP_CAPACITIES)))
     parts = F.ceil(F.col("total") / capacity).cast("int")
     pieces = items.where("total > 0").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
     pieces = pieces.withColumn("size", F.least(F.lit(capacity), F.col("total") - F.col("part") * F.lit(capacity)).cast("long"))
-    full = pieces.where(F.col("size") == capacity).withColumn("container", F.concat_ws("-", F.lit("full"), "item", "part"))
-    loose = pieces.where(F.col("size") < capacity).withColumn("group", F.pmod(F.xxhash64("item", "part"), F.lit(groups)).cast("int"))
-    packed = loose.groupBy("group").applyInPandas(_pack_group(capacity), f"item {kind}, total long, part int, size long, group int, container long")
+    full = pieces.where(F.col("size") == capacity).withColumn("container", F.concat_ws("-", F.lit("full"), "row", "part"))
+    loose = pieces.where(F.col("size") < capacity).withColumn("group", F.pmod(F.xxhash64("row", "part"), F.lit(groups)).cast("int"))
+    packed = loose.groupBy("group").applyInPandas(_pack_group(capacity), f"row long, item {kind}, total long, part int, size long, group int, container long")
     packed = packed.withColumn("container", F.concat_ws("-", F.lit("mixed"), "group", "container"))
     empty = items.where("total = 0").select("item", F.lit(0).alias("part"), F.lit(0).cast("long").alias("size"), F.lit(None).cast("string").alias("container"))
     columns = ["item", "part", "size", "container"]

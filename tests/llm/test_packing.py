@@ -56,3 +56,10 @@ def test_empty(spark):
 def test_ties(sizes):
     out = pack(np.array(sizes), 2048)
     assert np.bincount(out, weights=sizes).max() <= 2048 and out.max() + 1 == -(-sum(sizes) // 2048)
+
+
+def test_repeated_and_missing_ids_fill_containers_of_their_own(spark):
+    rows = [("a", 2048), ("a", 4100), ("a", 4100), (None, 2048), (None, 2048), (None, 2100), ("a-0", 2048)]
+    out = fill_containers(spark.createDataFrame(rows, "doc string, size long"), "doc", "size").toPandas()
+    assert out.groupby("container").n_tokens.sum().max() <= 2048 and out.n_tokens.sum() == sum(s for _, s in rows)
+    assert (out.n_tokens == 2048).sum() == out[out.n_tokens == 2048].container.nunique() == 9
