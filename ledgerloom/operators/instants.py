@@ -11,7 +11,8 @@ zone names in brackets, zone abbreviations; RFC 822 dates; month names (``31 Jan
 
 Defined results: NULL, empty or unreadable texts, impossible dates and the placeholders 0 and -1 give NULL; a local
 time that occurs twice means its first pass; one that a clock change skips is read with the offset before the change;
-fractions are cut to microseconds; an unknown zone name leaves its text unread; very long texts are not times.
+fractions are cut to microseconds; an unknown zone name leaves its text unread; blanks around a text do not
+matter, however many.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ _DATES = (
     r"(?P<a>\d{1,2})[/.](?P<b>\d{1,2})[/.](?P<y>\d{4})",
 )
 _FORMS = [re.compile(rf"{date}(?:[T\s,]\s*(?:at\s+)?{_CLOCK}{_ZONE})?$") for date in _DATES]
+#: Three blanks match wherever two do; fewer keep very long texts from being tried at every blank.
+_WIDE = re.compile(r"\s{3,}")
 _DIGITS = re.compile(r"[+-]?\d+(?:\.\d+)?$")
 
 
@@ -65,9 +68,9 @@ def _micros(local: datetime, zone) -> int:
 
 def parse_instant(text: str | None, zone: str, month_first: bool) -> int | None:
     """Microseconds since the epoch, or None. ``zone``: of times that state none."""
-    if text is None or len(text) > 64:
+    if text is None:
         return None
-    text = text.strip()
+    text = _WIDE.sub("  ", text.strip())
     own = _zone(zone) or timezone.utc
     try:
         if _DIGITS.match(text):

@@ -51,3 +51,9 @@ def test_dictionary_grows_and_joins(spark):
     empty = InstantDictionary(spark)
     empty.learn(more.limit(0))
     assert empty.attach(df).where("instant IS NOT NULL").count() == 0
+
+
+def test_blanks_around_or_within_do_not_matter():
+    assert at(" " * 80 + "2025-10-07T12:39:50" + "\t" * 80) == at("2025-10-07" + " " * 80 + "12:39:50") == "2025-10-07 12:39:50"
+    assert at("Wednesday, 31 December 2025 at 11:59:59.123456789 p.m. [America/Argentina/ComodRivadavia]") == "2026-01-01 02:59:59.123456"
+    assert at("2025-10-07" + " " * 200_000 + "x 1") is None
