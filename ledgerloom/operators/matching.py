@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import AMOUNT, within_tolerance
-from ledgerloom.storage import drop_path, fresh_path
+from ledgerloom.storage import drop_path, fresh_path, path_exists
 
 
 @dataclass(frozen=True)
@@ -25,6 +25,8 @@ class Rules:
     revenue: tuple[str, ...] = ("subscription_success", "recursion_success")
     contra: tuple[str, ...] = ("refund",)
     require_amount: bool = False
+    #: Days around a single day that are loaded to reconcile it: chains of contested candidates longer than this are cut.
+    reach_days: int = 7
 
     @property
     def money(self) -> tuple[str, ...]:
@@ -33,10 +35,16 @@ class Rules:
 
 #: The columns a ledger needs here; ``identity`` is the user (on the partner's side resolved through a bridge).
 LEDGER = ("event_id", "operator_code", "partner_txn_id", "identity", "txn_type", "plan_code", "amount", "business_date", "ts", "arrival")
+#: Text columns that are carried along where a ledger has them: the partner knows accounts, the platform subscriptions.
+CARRIED = ("account_id", "sub_id")
+
+
+def _carried(ledger: DataFrame, name: str) -> Column:
+    return F.col(name) if name in ledger.columns else F.lit(None).cast("string")
 
 
 def _side(ledger: DataFrame, prefix: str) -> DataFrame:
-    return ledger.select(*[F.col(c).alias(f"{prefix}_{c}") for c in LEDGER])
+    return ledger.select(*[F.col(c).alias(f"{prefix}_{c}") for c in LEDGER], *[_carried(ledger, c).alias(f"{prefix}_{c}") for c in CARRIED])
 
 
 def _close(rules: Rules) -> Column:
@@ -66,7 +74,7 @@ def outer_pairs(p: DataFrame, i: DataFrame, rules: Rules = Rules()) -> DataFrame
 def lonely(joined: DataFrame, prefix: str) -> DataFrame:
     """One side's unpaired rows of ``outer_pairs``, as a ledger."""
     other = {"p": "i", "i": "p"}[prefix]
-    return joined.where(F.col(f"{other}_event_id").isNull()).select(*[F.col(f"{prefix}_{c}").alias(c) for c in LEDGER])
+    return joined.where(F.col(f"{other}_event_id").isNull()).select(*[F.col(f"{prefix}_{c}").alias(c) for c in (*LEDGER, *CARRIED)])
 
 
 def outer_rows(joined: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -76,7 +84,8 @@ def outer_rows(joined: DataFrame, rules: Rules = Rules()) -> DataFrame:
     category = F.when(~i, "missing_on_platform").when(~p, "missing_at_partner").when(amounts_agree(rules), "matched").otherwise("amount_mismatch")
     return joined.select(
         either("operator_code"), either("partner_txn_id"), F.col("p_event_id").alias("partner_event_id"), F.col("i_event_id").alias("platform_event_id"),
-        F.col("p_identity").alias("p_user_id"), F.col("i_identity").alias("i_user_id"), either("txn_type"), either("plan_code"), either("business_date"),
+        F.col("p_identity").alias("p_user_id"), F.col("i_identity").alias("i_user_id"), F.col("i_sub_id").alias("sub_id"), F.col("p_account_id").alias("account_id"),
+        either("txn_type"), either("plan_code"), either("business_date"),
         F.col("i_business_date").alias("platform_business_date"), F.col("p_amount").alias("partner_amount"), F.col("i_amount").alias("internal_amount"),
         F.greatest("p_arrival", "i_arrival").alias("file_arrival_date"), F.when(p & i, F.lit(1.0)).otherwise(F.lit(0.0)).alias("match_confidence"),
         F.when(p & i, F.lit("partner_txn_id")).otherwise(F.lit("unmatched")).alias("match_method"), category.alias("break_category"),
@@ -95,10 +104,15 @@ def unused(ledger: DataFrame, pairs: DataFrame, prefix: str) -> DataFrame:
 
 def candidates(p: DataFrame, i: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Scored pairs of keyless partner rows (identity resolved) and platform rows: same operator, identity and type,
-    dates within the window. confidence is decimal; gap is in seconds."""
+    dates within the window. confidence is decimal; gap is in seconds.
+
+    Platform rows are offered on every day of their window, so that the day is part of the equi key: a hot identity is
+    spread over its days, and what meets grows with its rows of a day, not with those of its whole history."""
     keyless = p.where("partner_txn_id IS NULL AND identity IS NOT NULL")
+    reach = F.sequence(F.date_sub("i_business_date", rules.window_days), F.date_add("i_business_date", rules.window_days))
+    offered = _side(i.where("identity IS NOT NULL AND business_date IS NOT NULL"), "i").withColumn("__day", F.explode(reach))
     on = [F.col(f"p_{c}") == F.col(f"i_{c}") for c in ("operator_code", "identity", "txn_type")]
-    pairs = _side(keyless, "p").join(_side(i, "i"), [*on, _close(rules)])
+    pairs = _side(keyless, "p").join(offered, [*on, F.col("p_business_date") == F.col("__day")]).drop("__day")
     w = {k: F.lit(Decimal(v)).cast("decimal(6,3)") for k, v in rules.weights.items()}
     none = F.lit(0).cast("decimal(6,3)")
     confidence = (
@@ -120,37 +134,43 @@ def assign(scored: DataFrame) -> DataFrame:
     """One-to-one pairs, as a sequential greedy pass over all candidates in order of confidence, gap and ids would give.
 
     Each round takes all pairs that are the best of both their sides and removes what they use; with a strict total
-    order this equals the sequential pass and needs few rounds. Rounds are written to the shared folder, so no lineage
-    piles up; the loop ends when no candidate is left, and its number of rounds does not depend on group sizes."""
+    order this equals the sequential pass and needs few rounds. A round is one job: its pairs and what is left go to two
+    partitions of one table in the shared folder, so no lineage piles up and nothing is joined; the loop ends when no
+    candidate is left, and its number of rounds does not depend on group sizes."""
     spark = scored.sparkSession
     rank = [F.col("confidence").desc(), F.col("gap").asc_nulls_last(), F.col("p_event_id"), F.col("i_event_id")]
-    by_p, by_i = Window.partitionBy("p_event_id").orderBy(*rank), Window.partitionBy("i_event_id").orderBy(*rank)
+    of_p, of_i = Window.partitionBy("p_event_id"), Window.partitionBy("i_event_id")
     root, rounds = fresh_path(spark, "assign"), 0
-    left_path = f"{root}/left-0"
-    scored.write.parquet(left_path)
-    taken: DataFrame | None = None
-    while True:
-        left = spark.read.schema(scored.schema).parquet(left_path)
-        if left.isEmpty():
+    at, taken = f"{root}/start", []
+    scored.write.parquet(at)
+    while not (left := spark.read.schema(scored.schema).parquet(at)).isEmpty():
+        ranked = left.withColumn("__p", F.row_number().over(of_p.orderBy(*rank))).withColumn("__i", F.row_number().over(of_i.orderBy(*rank)))
+        ranked = ranked.withColumn("won", (F.col("__p") == 1) & (F.col("__i") == 1))
+        used = ranked.withColumn("__i", F.max("won").over(of_i)).withColumn("__p", F.max("won").over(of_p))
+        out = f"{root}/round-{rounds}"
+        used.where("won OR NOT (__p OR __i)").drop("__p", "__i").write.partitionBy("won").parquet(out)
+        taken.append(f"{out}/won=true")
+        drop_path(spark, at)
+        at, rounds = f"{out}/won=false", rounds + 1
+        if not path_exists(spark, at):
             break
-        best = left.withColumn("__p", F.row_number().over(by_p)).withColumn("__i", F.row_number().over(by_i)).where("__p = 1 AND __i = 1").drop("__p", "__i")
-        best.write.parquet(f"{root}/taken-{rounds}")
-        won = spark.read.schema(scored.schema).parquet(f"{root}/taken-{rounds}")
-        taken = won if taken is None else taken.unionByName(won)
-        rest = left.join(won.select("p_event_id"), "p_event_id", "left_anti").join(won.select("i_event_id"), "i_event_id", "left_anti")
-        rounds += 1
-        rest.write.parquet(f"{root}/left-{rounds}")
-        drop_path(spark, left_path)
-        left_path = f"{root}/left-{rounds}"
-    return taken if taken is not None else spark.createDataFrame([], scored.schema)
+    return spark.read.schema(scored.schema).parquet(*taken) if taken else spark.createDataFrame([], scored.schema)
+
+
+def best_scores(scored: DataFrame, prefix: str) -> DataFrame:
+    """The best confidence that each event of a side reached, with any candidate."""
+    return scored.groupBy(F.col(f"{prefix}_event_id").alias("event_id")).agg(F.max("confidence").alias("top"))
+
+
+def below_floor(top: Column, rules: Rules = Rules()) -> Column:
+    return F.coalesce(top < F.lit(Decimal(rules.floor)), F.lit(False))
 
 
 def residuals(ledger: DataFrame, paired: DataFrame, scored: DataFrame, prefix: str, rules: Rules = Rules()) -> DataFrame:
     """Unpaired rows with what the fallback made of them: method ``fallback_below_floor`` and the best confidence if all
     their candidates stayed below the floor, else ``unmatched`` and 0."""
-    tops = scored.groupBy(F.col(f"{prefix}_event_id").alias("event_id")).agg(F.max("confidence").alias("top"))
-    rest = unused(ledger, paired, prefix).join(tops, "event_id", "left")
-    below = F.coalesce(F.col("top") < F.lit(Decimal(rules.floor)), F.lit(False))
+    rest = unused(ledger, paired, prefix).join(best_scores(scored, prefix), "event_id", "left")
+    below = below_floor(F.col("top"), rules)
     method = F.when(below, F.lit("fallback_below_floor")).otherwise(F.lit("unmatched"))
     confidence = F.when(below, F.col("top")).otherwise(F.lit(0)).cast("double")
     return rest.withColumn("match_method", method).withColumn("match_confidence", confidence).drop("top")
@@ -162,7 +182,8 @@ def pair_rows(pairs: DataFrame, method: str, confidence: Column, rules: Rules =
     return pairs.select(
         F.col("p_operator_code").alias("operator_code"), F.col("p_partner_txn_id").alias("partner_txn_id"),
         F.col("p_event_id").alias("partner_event_id"), F.col("i_event_id").alias("platform_event_id"),
-        F.col("p_identity").alias("p_user_id"), F.col("i_identity").alias("i_user_id"), F.col("p_txn_type").alias("txn_type"),
+        F.col("p_identity").alias("p_user_id"), F.col("i_identity").alias("i_user_id"), F.col("i_sub_id").alias("sub_id"), F.col("p_account_id").alias("account_id"),
+        F.col("p_txn_type").alias("txn_type"),
         F.coalesce("p_plan_code", "i_plan_code").alias("plan_code"), F.col("p_business_date").alias("business_date"),
         F.col("i_business_date").alias("platform_business_date"), F.col("p_amount").alias("partner_amount"), F.col("i_amount").alias("internal_amount"),
         arrival.alias("file_arrival_date"), confidence.cast("double").alias("match_confidence"), F.lit(method).alias("match_method"),
@@ -176,7 +197,8 @@ def single_rows(rest: DataFrame, partner: bool) -> DataFrame:
     ours = lambda yes, column, none: F.col(column) if yes else none
     return rest.select(
         "operator_code", "partner_txn_id", ours(partner, "event_id", text).alias("partner_event_id"), ours(not partner, "event_id", text).alias("platform_event_id"),
-        ours(partner, "identity", text).alias("p_user_id"), ours(not partner, "identity", text).alias("i_user_id"), "txn_type", "plan_code", "business_date",
+        ours(partner, "identity", text).alias("p_user_id"), ours(not partner, "identity", text).alias("i_user_id"), (text if partner else _carried(rest, "sub_id")).alias("sub_id"),
+        (_carried(rest, "account_id") if partner else text).alias("account_id"), "txn_type", "plan_code", "business_date",
         ours(not partner, "business_date", date).alias("platform_business_date"), ours(partner, "amount", money).alias("partner_amount"),
         ours(not partner, "amount", money).alias("internal_amount"), F.col("arrival").alias("file_arrival_date"), "match_confidence", "match_method",
         F.lit("missing_on_platform" if partner else "missing_at_partner").alias("break_category"),

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import keys as K
-from ledgerloom.functions.money import AMOUNT, RATE, converted, exact
+from ledgerloom.functions.money import AMOUNT, RATE, exact
 from ledgerloom.operators import matching as M
 from ledgerloom.operators import temporal as TP
 from ledgerloom.plans import marts
 from ledgerloom.plans import reconcile as R
 from ledgerloom.plans.store import closed_months
 from ledgerloom.sources import cdc, feeds
+from ledgerloom.storage import materialize
 
-OPEN_PERIOD, RUN = "1998-09", "2026-01-01 00:00:00"
+OPEN_PERIOD, RUN, DAY = "1998-09", "2026-01-01 00:00:00", dt.date(1995, 3, 15)
 _TYPES = {"F": "recursion_success", "O": "subscription_success", "P": "refund"}
 
 
@@ -39,6 +42,7 @@ def partner_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base(spark, sf_dir).where("k % 17 != 0").select(
         "event_id", "operator_code", "partner_txn_id", F.concat(F.lit("A"), "person").alias("account_id"), F.lit(None).cast("string").alias("identity"),
         "txn_type", F.col("priority").alias("plan_code"), "amount", F.col("day").alias("business_date"), "ts", arrival.alias("arrival"),
+        F.concat(F.lit("p-"), arrival.cast("string")).alias("source_file"), K.record_hash(F.col("event_id"), F.col("amount")).alias("record_hash"),
     )
 
 
@@ -46,9 +50,10 @@ def platform_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     factor = F.when(F.col("k") % 7 == 0, exact("1.02")).when(F.col("k") % 7 == 1, exact("1.004")).otherwise(exact("1"))
     day = F.date_add("day", F.when(F.col("k") % 23 == 0, F.lit(1)).otherwise(F.lit(0)))
     return _base(spark, sf_dir).where("k % 11 != 0").select(
-        "event_id", "operator_code", "partner_txn_id", F.concat(F.lit("U"), "person").alias("identity"), "txn_type",
+        "event_id", "operator_code", "partner_txn_id", F.concat(F.lit("U"), "person").alias("identity"), F.concat(F.lit("S"), "person").alias("sub_id"), "txn_type",
         F.when(F.col("txn_type") == "subscription_success", F.col("priority")).alias("plan_code"), F.round(F.col("amount") * factor, 4).cast(AMOUNT).alias("amount"),
-        day.alias("business_date"), "ts", day.alias("arrival"),
+        day.alias("business_date"), "ts", day.alias("arrival"), F.concat(F.lit("i-"), day.cast("string")).alias("source_file"),
+        K.record_hash(F.col("event_id"), F.col("txn_type")).alias("record_hash"),
     )
 
 
@@ -70,26 +75,34 @@ def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plan_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two price versions of each plan code and operator, from the parts of the size that stands for the plan."""
+    """Two price versions of each plan code and operator, in the currency that stands for the plan."""
     codes = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("plan_code")).distinct().crossJoin(F.broadcast(table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("operator_code")).distinct()))
     digit = F.substring("plan_code", 1, 1).try_cast("int")
     price = lambda base: (F.coalesce(digit, F.lit(9)) * F.lit(base)).cast(AMOUNT).alias("price_original")
-    row = lambda base, start: codes.select("operator_code", "plan_code", price(base), F.lit("USD").alias("currency"), F.lit(start).cast("date").alias("effective_from"))
+    currency = F.when(digit.isin(2, 3), "NGN").when(digit == 4, "PKR").otherwise("USD").alias("currency")
+    row = lambda base, start: codes.select("operator_code", "plan_code", price(base), currency, F.lit(start).cast("date").alias("effective_from"))
     return row(20000, "1992-01-01").unionByName(row(30000, "1995-07-01"))
 
 
+def daily_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of two currencies for every day of the orders but the first of a month."""
+    span = table(spark, sf_dir, "orders").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b"))
+    days = span.where("a IS NOT NULL").select(F.explode(F.sequence("a", "b")).alias("rate_date")).where(F.dayofmonth("rate_date") > 1)
+    rate = lambda base: (exact(base) + F.dayofmonth("rate_date") * exact("0.001")).cast(RATE).alias("rate")
+    return days.select(F.lit("NGN").alias("currency"), "rate_date", rate("0.5")).unionByName(days.select(F.lit("PKR").alias("currency"), "rate_date", rate("2")))
+
+
 def periods(spark: SparkSession) -> DataFrame:
     rows = [("1994-03", "closed"), ("1996-11", "closed"), ("1997-01", "open")]
     return spark.createDataFrame(rows, "period_month string, status string")
 
 
-def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole fact: exact pairs, assigned fallback pairs and residuals, overlaid, routed and priced."""
+def fact_rows(spark: SparkSession, sf_dir: str, day: dt.date | None = None) -> DataFrame:
+    """The whole fact (or a day of it): exact pairs, assigned fallback pairs and residuals, overlaid, routed and priced."""
     p, i = partner_ledger(spark, sf_dir), platform_ledger(spark, sf_dir)
-    rows = R.reconcile(p, i, bridge(spark, sf_dir), churn(spark, sf_dir), periods(spark), OPEN_PERIOD, F.lit(RUN).cast("timestamp"))
+    rows = R.reconcile(p, i, bridge(spark, sf_dir), churn(spark, sf_dir), periods(spark), OPEN_PERIOD, F.lit(RUN).cast("timestamp"), day=day)
     plans = TP.intervals(plan_versions(spark, sf_dir), ["operator_code", "plan_code"], "effective_from")
-    fx = spark.createDataFrame([], "currency string, rate_date date, rate decimal(18,8)")
-    return R.price_check(rows, plans, fx)
+    return R.price_check(rows, plans, daily_rates(spark, sf_dir))
 
 
 _BRIEF = ("partner_event_id", "platform_event_id", "break_category", "match_method", "match_confidence")
@@ -141,9 +154,8 @@ def fallback_assigned(spark, sf_dir):
 
 
 def below_floor(spark, sf_dir):
-    scored = _scored(spark, sf_dir)
-    top = scored.groupBy("p_event_id").agg(F.max("confidence").alias("top"))
-    return top.where(F.col("top") < exact("0.80")).select("p_event_id", F.col("top").cast("double").alias("top"))
+    best = M.best_scores(_scored(spark, sf_dir), "p").where(M.below_floor(F.col("top")))
+    return best.select(F.col("event_id").alias("p_event_id"), F.col("top").cast("double").alias("top"))
 
 
 def match_ledgers(spark, sf_dir):
@@ -155,6 +167,35 @@ def match_summary(spark, sf_dir):
     return rows.groupBy("operator_code", "break_category", "match_method").count().withColumnRenamed("count", "n")
 
 
+_FACT = (
+    "break_id", "operator_code", "partner_txn_id", "partner_event_id", "platform_event_id", "p_user_id", "i_user_id", "sub_id", "account_id", "txn_type", "plan_code",
+    "business_date", "platform_business_date", "partner_amount", "internal_amount", "variance", "expected_amount", "plan_price_ok", "file_arrival_date",
+    "match_confidence", "match_method", "break_category", "is_orphan_churn", "is_late", "lag_days", "period_month", "is_closed_month", "original_business_date",
+    "adj_period", "recon_run_ts",
+)
+
+
+def reconcile(spark, sf_dir):
+    """Every row and column of the fact."""
+    return fact_rows(spark, sf_dir).select(*_FACT)
+
+
+def reconcile_day(spark, sf_dir):
+    """One day, from the days around it alone."""
+    return fact_rows(spark, sf_dir, DAY).select(*_FACT)
+
+
+def adjustments(spark, sf_dir):
+    """Rows of closed months against a frozen fact which knows a third of them, and a third otherwise than they are now, and
+    against earlier adjustments that hold a part of the rest."""
+    fact = materialize(fact_rows(spark, sf_dir), "fact")
+    third = F.coalesce("partner_event_id", "platform_event_id").cast("bigint") % 3
+    sixth = F.coalesce("partner_event_id", "platform_event_id").cast("bigint") % 6
+    changed = F.when(third == 2, F.lit("changed")).otherwise(F.col("break_category"))
+    _, rows = R.split_closed(fact, fact.where(third != 0).withColumn("break_category", changed), fact.where(sixth == 0))
+    return rows.select("break_id", "business_date", "adj_period", "break_category")
+
+
 # ------------------------------------------------------------------------------------------------------------ overlays
 def orphan_overlay(spark, sf_dir):
     return fact_rows(spark, sf_dir).where("is_orphan_churn").select("partner_event_id", "platform_event_id", "break_category")
@@ -178,7 +219,7 @@ def closed_offending(spark, sf_dir):
 
 
 def churn_min(spark, sf_dir):
-    return churn(spark, sf_dir).groupBy("operator_code", "user_id").agg(F.min("churn_ts").alias("churn_ts"))
+    return R.first_churn(churn(spark, sf_dir))
 
 
 def break_ids(spark, sf_dir):
@@ -192,36 +233,31 @@ def bridge_learning(spark, sf_dir):
 
 # --------------------------------------------------------------------------------------------------------------- marts
 def daily_mart(spark, sf_dir):
-    return marts.daily(fact_rows(spark, sf_dir)).drop("recon_run_ts").withColumn("variance", F.col("variance").cast("decimal(28,4)")).withColumn("partner_amount_total", F.col("partner_amount_total").cast("decimal(28,4)")).withColumn("internal_amount_total", F.col("internal_amount_total").cast("decimal(28,4)"))
+    return marts.daily(fact_rows(spark, sf_dir))
 
 
 def health_report(spark, sf_dir):
-    import datetime as dt
-
-    return marts.report(marts.HEALTH, {"business_date": dt.date(1995, 3, 15)}, daily=marts.daily(fact_rows(spark, sf_dir)))
+    return marts.health(marts.daily(fact_rows(spark, sf_dir)), DAY)
 
 
 def drilldown_topk(spark, sf_dir):
-    import datetime as dt
-
-    return marts.report(marts.DRILLDOWN, {"business_date": dt.date(1995, 3, 15)}, fact=fact_rows(spark, sf_dir))
+    return marts.drilldown(fact_rows(spark, sf_dir), DAY)
 
 
 def review_queue(spark, sf_dir):
-    return marts.report(marts.REVIEW, {}, fact=fact_rows(spark, sf_dir))
+    return marts.review(fact_rows(spark, sf_dir))
 
 
 def price_exceptions(spark, sf_dir):
-    return marts.report(marts.EXCEPTIONS, {}, fact=fact_rows(spark, sf_dir))
+    return marts.exceptions(fact_rows(spark, sf_dir))
 
 
 def monthly_close(spark, sf_dir):
-    return marts.report(marts.CLOSE, {"period": OPEN_PERIOD}, fact=fact_rows(spark, sf_dir))
+    return marts.close(fact_rows(spark, sf_dir), OPEN_PERIOD)
 
 
 def audit_trail(spark, sf_dir):
-    args = {"period": "1996-11", "operator": "BUILDING"}
-    return marts.report(marts.AUDIT, args, fact=fact_rows(spark, sf_dir), partner=partner_ledger(spark, sf_dir), platform=platform_ledger(spark, sf_dir))
+    return marts.audit(fact_rows(spark, sf_dir), partner_ledger(spark, sf_dir), platform_ledger(spark, sf_dir), "1996-11", "BUILDING")
 
 
 def tie_out(spark, sf_dir):
@@ -253,14 +289,20 @@ def fx_convert(spark, sf_dir):
     return out.select("event_id", "amount_reporting", "fx_missing")
 
 
+def _plan_rows(spark, sf_dir):
+    """Of several rows for one start the one that became known last."""
+    rows = table(spark, sf_dir, "dim_plan").select("operator_code", "plan_code", "effective_from", "ingest_ts", "plan_sk", "price_original")
+    one = TP.latest(rows, ["operator_code", "plan_code", "effective_from"], [F.col("ingest_ts").desc(), F.col("plan_sk").desc(), F.col("price_original").desc()])
+    return one.select("operator_code", "plan_code", "effective_from", "price_original")
+
+
 def scd2_versions(spark, sf_dir):
-    v = table(spark, sf_dir, "dim_plan").groupBy("operator_code", "plan_code", "effective_from").agg(F.max("price_original").alias("price_original"))
-    return TP.intervals(v, ["operator_code", "plan_code"], "effective_from")
+    return TP.intervals(_plan_rows(spark, sf_dir), ["operator_code", "plan_code"], "effective_from")
 
 
 def scd2_merge(spark, sf_dir):
     """The catalogue's later half arriving after its earlier half: repeated prices are no versions."""
-    v = table(spark, sf_dir, "dim_plan").groupBy("operator_code", "plan_code", "effective_from").agg(F.max("price_original").alias("price_original"))
+    v = _plan_rows(spark, sf_dir)
     v = v.withColumn("content", F.col("price_original").cast("string"))
     cut = F.lit("2026-01-01").cast("date")
     return TP.merge_versions(v.where(F.col("effective_from") < cut), v.where(F.col("effective_from") >= cut), ["operator_code", "plan_code"], "effective_from", "content").drop("content")
@@ -285,9 +327,11 @@ def merge_latest(spark, sf_dir):
 
 
 def cdc_dedupe(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey")
-    order = [F.col(c).desc() for c in ("l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey")]
-    return TP.latest(rows, _line_key(), order).select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
+    """Line items as change data: the commit time is made of ship date, part and supplier, returned lines are deletions."""
+    at = F.timestamp_micros(F.unix_micros(F.col("l_shipdate").cast("timestamp")) + F.col("l_partkey") * 10_000 + F.col("l_suppkey"))
+    kind = F.when(F.col("l_returnflag") == "R", F.lit("D")).otherwise(F.lit("U"))
+    rows = table(spark, sf_dir, "lineitem").withColumn("operator_code", F.lit("op")).withColumn("_commit_ts", at).withColumn("_op", kind)
+    return cdc.latest_versions(rows, *_line_key()).select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "is_deleted")
 
 
 def union_drift(spark, sf_dir):
@@ -310,10 +354,36 @@ def type_map(spark, sf_dir):
     return out.withColumn("dq_unmapped_type", F.col("txn_type").isNull())
 
 
+def _specs(spark, sf_dir) -> list[feeds.FeedSpec]:
+    """A spec of each operator in the registry (configuration, a few rows)."""
+    rows = table(spark, sf_dir, "operator_registry").orderBy("operator_code").collect()
+    return [
+        feeds.FeedSpec(
+            r.operator_code, "json" if r.operator_code == "telco_b" else "csv", r.timezone, r.currency, {}, {"1": "x"}, ts_format=r.ts_format,
+            amount_scale=r.amount_scale, decimal_comma=r.decimal_comma,
+        )
+        for r in rows
+    ]
+
+
+def _by_operator(specs: list[feeds.FeedSpec], read) -> Column:
+    """``read(spec)`` of the row's operator; NULL where the registry does not know it."""
+    out = F.lit(None)
+    for spec in specs:
+        out = F.when(F.col("operator_code") == spec.operator, read(spec)).otherwise(out)
+    return out
+
+
 def amount_parse(spark, sf_dir):
-    spec = feeds.FeedSpec("telco_c", "csv", "Europe/Istanbul", "TRY", {}, {"1": "x"}, decimal_comma=True)
-    rows = table(spark, sf_dir, "operator_feed").where("operator_code = 'telco_c'")
-    return rows.select("source_file", "source_row", feeds.parsed_amount(spec, F.col("amount")).alias("amount"))
+    amount = _by_operator(_specs(spark, sf_dir), lambda spec: feeds.parsed_amount(spec, F.col("amount")))
+    return table(spark, sf_dir, "operator_feed").select("source_file", "source_row", "operator_code", amount.alias("amount"))
+
+
+def feed_instants(spark, sf_dir):
+    """Every raw record of the feed by its own operator's declared format; what that format cannot read is NULL."""
+    at = _by_operator(_specs(spark, sf_dir), lambda spec: feeds.parsed_instant(spec, F.col("event_time")))
+    rows = table(spark, sf_dir, "operator_feed")
+    return rows.select("source_file", "source_row", "operator_code", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"), F.to_date(at).alias("business_date"))
 
 
 def ts_parse(spark, sf_dir):
@@ -323,11 +393,13 @@ def ts_parse(spark, sf_dir):
     return rows.select("source_file", "source_row", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"), F.to_date(at).alias("business_date"))
 
 
+_TELCO_B = feeds.FeedSpec("telco_b", "json", "Asia/Karachi", "PKR", {}, {"1": "x"}, ts_format="epoch_millis", amount_scale=0.01)
+
+
 def epoch_parse(spark, sf_dir):
-    spec = feeds.FeedSpec("telco_b", "json", "Asia/Karachi", "PKR", {}, {"1": "x"}, ts_format="epoch_millis", amount_scale=0.01)
     b = table(spark, sf_dir, "telco_b_feed")
-    at = feeds.parsed_instant(spec, F.col("transaction.ts_epoch_ms"))
-    return b.select("source_file", "source_row", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"), feeds.parsed_amount(spec, F.col("transaction.value_minor")).alias("amount"))
+    at = feeds.parsed_instant(_TELCO_B, F.col("transaction.ts_epoch_ms"))
+    return b.select("source_file", "source_row", F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("at"), feeds.parsed_amount(_TELCO_B, F.col("transaction.value_minor")).alias("amount"))
 
 
 def nested_path(spark, sf_dir):
@@ -346,18 +418,19 @@ def record_hash(spark, sf_dir):
 
 
 def refund_flip(spark, sf_dir):
-    raw = table(spark, sf_dir, "operator_feed").where("operator_code = 'telco_f'").withColumn("raw_row_hash", F.lit("")).withColumn("file_arrival_date", F.lit(None).cast("date"))
+    """The whole feed as if one operator had sent it whose negative renewals are refunds."""
+    raw = table(spark, sf_dir, "operator_feed").withColumn("raw_row_hash", F.lit("")).withColumn("file_arrival_date", F.lit(None).cast("date"))
     spec = feeds.FeedSpec(
-        "telco_f", "csv", "Asia/Colombo", "LKR", {"partner_txn_id": "txn_ref", "msisdn_or_account": "msisdn", "txn_type": "event_type", "amount": "amount", "txn_ts": "event_time", "plan_code": "absent.column"},
+        "any", "csv", "Asia/Colombo", "LKR", {"partner_txn_id": "txn_ref", "msisdn_or_account": "msisdn", "txn_type": "event_type", "amount": "amount", "txn_ts": "event_time", "plan_code": "product_code"},
         {"billing_success": "recursion_success", "first_billing": "subscription_success", "billing_failure": "recursion_failure", "refund": "refund", "cancel": "cancel"}, negative_amount_means_refund=True,
     )
     out = feeds.conform(raw, spec)
-    return out.groupBy("txn_type", "dq_unmapped_type").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_original").cast("decimal(28,4)").alias("total"), F.count("plan_code").alias("plans"))
+    return out.groupBy("operator_code", "txn_type", "dq_unmapped_type").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_original").cast("decimal(28,4)").alias("total"), F.count("plan_code").alias("plans"))
 
 
 def minor_units(spark, sf_dir):
-    rows = table(spark, sf_dir, "telco_b_feed").where("transaction.value_minor IS NOT NULL")
-    amount = converted(F.col("transaction.value_minor").cast(AMOUNT), exact("0.01"))
+    amount = feeds.parsed_amount(_TELCO_B, F.col("transaction.value_minor"))
+    rows = table(spark, sf_dir, "telco_b_feed")
     return rows.groupBy(F.col("transaction.kind").alias("kind")).agg(F.sum(amount).cast("decimal(28,4)").alias("total"), F.max(amount).alias("most"))
 
 
@@ -365,9 +438,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         exact_match, tolerance_category, residual_partner, residual_platform, multi_match, asof_identity, fallback_scored, fallback_assigned, below_floor,
-        match_ledgers, match_summary, orphan_overlay, late_overlay, closed_routing, plan_price_check, closed_offending, churn_min, break_ids, bridge_learning,
+        match_ledgers, match_summary, reconcile, reconcile_day, adjustments, orphan_overlay, late_overlay, closed_routing, plan_price_check, closed_offending, churn_min, break_ids, bridge_learning,
         daily_mart, health_report, drilldown_topk, review_queue, price_exceptions, monthly_close, audit_trail, tie_out, category_histogram, fx_ffill, fx_convert,
-        scd2_versions, scd2_merge, scd2_asof, merge_latest, cdc_dedupe, union_drift, calendar_cross, type_map, amount_parse, ts_parse, epoch_parse, nested_path,
+        scd2_versions, scd2_merge, scd2_asof, merge_latest, cdc_dedupe, union_drift, calendar_cross, type_map, amount_parse, feed_instants, ts_parse, epoch_parse, nested_path,
         json_path, record_hash, refund_flip, minor_units,
     )
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +20,17 @@ def resolve_identity(p: DataFrame, bridge: DataFrame) -> DataFrame:
     return keyed.withColumn("identity", F.col("__user")).drop("__user")
 
 
+def first_churn(churn: DataFrame) -> DataFrame:
+    """operator_code, user_id and the first churn_ts that was not deleted again."""
+    if "is_deleted" in churn.columns:
+        churn = churn.where(~F.coalesce("is_deleted", F.lit(False)))
+    return churn.groupBy("operator_code", "user_id").agg(F.min("churn_ts").alias("churn_ts"))
+
+
 def orphan_overlay(rows: DataFrame, churn: DataFrame) -> DataFrame:
     """Renewals booked after the user's first churn become orphan_churn, whatever they were. Churn of the same day does
     not count. ``churn``: operator_code, user_id, churn_ts, optionally is_deleted."""
-    if "is_deleted" in churn.columns:
-        churn = churn.where(~F.coalesce("is_deleted", F.lit(False)))
-    first = churn.groupBy(F.col("operator_code").alias("__op"), F.col("user_id").alias("__user")).agg(F.min("churn_ts").alias("__churn"))
+    first = first_churn(churn).withColumnsRenamed({"operator_code": "__op", "user_id": "__user", "churn_ts": "__churn"})
     out = rows.join(first, (F.col("operator_code") == F.col("__op")) & (F.col("i_user_id") == F.col("__user")), "left")
     after = (F.col("txn_type") == "recursion_success") & (F.col("business_date") > F.to_date("__churn"))
     out = out.withColumn("is_orphan_churn", F.coalesce(after, F.lit(False))).drop("__op", "__user", "__churn")
@@ -40,8 +47,8 @@ def late_overlay(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def route_periods(rows: DataFrame, periods: DataFrame, open_period: str | Column) -> DataFrame:
     """period_month, is_closed_month, original_business_date and adj_period: rows of closed months are booked into the
-    open period. ``periods`` has a row per month ever opened: a few hundred at most, broadcast."""
-    closed = F.broadcast(periods.where("status = 'closed'").select(F.col("period_month").alias("__closed")).distinct())
+    open period. ``periods`` has a row per month ever opened; the planner broadcasts it by its size."""
+    closed = periods.where("status = 'closed'").select(F.col("period_month").alias("__closed")).distinct()
     month = F.date_format("business_date", "yyyy-MM")
     out = rows.withColumn("period_month", month).join(closed, F.col("period_month") == F.col("__closed"), "left")
     out = out.withColumn("is_closed_month", F.col("__closed").isNotNull()).drop("__closed")
@@ -50,16 +57,24 @@ def route_periods(rows: DataFrame, periods: DataFrame, open_period: str | Column
     return out.withColumn("adj_period", F.when(F.col("is_closed_month"), booked).otherwise(F.col("period_month")))
 
 
-def split_closed(rows: DataFrame, frozen: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of open months (to be rewritten) and adjustments: rows of closed months that are new or changed against the
-    frozen fact, by break_id."""
-    fields = ["break_category", "partner_amount", "internal_amount", "match_method"]
-    old = frozen.select("break_id", *[F.col(c).alias(f"__{c}") for c in fields], F.lit(True).alias("__known"))
-    closed = rows.where("is_closed_month").join(old, "break_id", "left")
-    same = F.coalesce(F.col("__known"), F.lit(False))
-    for c in fields:
+_JUDGED = ("break_category", "partner_amount", "internal_amount", "match_method")
+
+
+def unknown_to(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows whose break_id ``known`` lacks, or holds with other amounts, category or method."""
+    old = known.select(F.col("break_id").alias("__id"), *[F.col(c).alias(f"__{c}") for c in _JUDGED])
+    same = F.col("break_id") == F.col("__id")
+    for c in _JUDGED:
         same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    adjustments = closed.where(~same).drop("__known", *[f"__{c}" for c in fields])
+    return rows.join(old, same, "left_anti")
+
+
+def split_closed(rows: DataFrame, frozen: DataFrame, booked: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of open months (to be rewritten) and adjustments: rows of closed months that are new or changed against the
+    frozen fact and, as far as earlier adjustments (``booked``) are given, against these; so a run repeated adjusts nothing."""
+    adjustments = unknown_to(rows.where("is_closed_month"), frozen)
+    if booked is not None:
+        adjustments = unknown_to(adjustments, booked)
     return rows.where("NOT is_closed_month"), adjustments
 
 
@@ -102,8 +117,20 @@ def match_ledgers(p: DataFrame, i: DataFrame, bridge: DataFrame, rules: Rules =
     return pairs.unionByName(p_only).unionByName(i_only)
 
 
-def reconcile(p: DataFrame, i: DataFrame, bridge: DataFrame, churn: DataFrame, periods: DataFrame, open_period: str, run_ts: Column, rules: Rules = Rules()) -> DataFrame:
-    """The fact of all days. Filter by business_date afterwards where one day is wanted."""
+def around(ledger: DataFrame, day: dt.date, rules: Rules = Rules()) -> DataFrame:
+    """The rows that can bear on a day. A literal range on business_date: partitions outside of it are not listed."""
+    first, last = day - dt.timedelta(days=rules.reach_days), day + dt.timedelta(days=rules.reach_days)
+    return ledger.where(F.col("business_date").between(F.lit(first), F.lit(last)))
+
+
+def reconcile(
+    p: DataFrame, i: DataFrame, bridge: DataFrame, churn: DataFrame, periods: DataFrame, open_period: str, run_ts: Column, rules: Rules = Rules(), day: dt.date | None = None
+) -> DataFrame:
+    """The fact of all days, or of ``day`` alone: then only the days around it are read from either ledger."""
+    if day is not None:
+        p, i = around(p, day, rules), around(i, day, rules)
     rows = match_ledgers(p, i, bridge, rules)
+    if day is not None:
+        rows = rows.where(F.col("business_date") == F.lit(day))
     rows = late_overlay(orphan_overlay(rows, churn), rules)
     return with_ids(route_periods(rows, periods, open_period), run_ts)

@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.keys import record_hash
 from ledgerloom.functions.money import AMOUNT
 from ledgerloom.operators.temporal import latest
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+from ledgerloom.storage import path_exists as exists
 
 
 def read_entity(spark: SparkSession, root: str, entity: str, operators: list[str]) -> DataFrame | None:

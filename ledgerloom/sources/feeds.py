@@ -104,7 +104,8 @@ def parsed_instant(spec: FeedSpec, text: Column) -> Column:
     if spec.ts_format == "epoch_millis":
         millis = text.try_cast("bigint")
         return F.when(F.abs(millis.cast("decimal(20,0)")) <= MOST_MILLIS, F.timestamp_millis(millis))
-    zoned = F.regexp_like(text, F.lit(r"(Z|[+-]\d{2}:?\d{2})$"))
+    # An offset follows a time of day: the year of a date with hyphens is none.
+    zoned = F.regexp_like(text, F.lit(r"\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}:?\d{2})$"))
     pattern = None if spec.ts_format in (None, "iso8601") else spec.ts_format
     local = F.try_to_timestamp(text, F.lit(pattern)) if pattern else F.try_to_timestamp(text)
     return F.when(zoned, F.try_to_timestamp(text)).otherwise(F.to_utc_timestamp(local, spec.timezone))
