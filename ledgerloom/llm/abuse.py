@@ -2,139 +2,131 @@
 
 A text is folded (markup, zero-width characters, look-alike letters, accents, case), disguises are undone (digits and
 signs for letters, single letters with separators, stretched letters, starred letters) and it is cut into sentences.
-Of each sentence: hits of the lexicons by category, their nearness to second-person words, capitals, punctuation and
-how many hits were disguised. Hits within a known harmless sense (a bastard file, pussy willow) do not count. A
-document's features are the maxima over its sentences, so that one sentence in a text of many pages is enough, and the
-densities over the whole text. Boosted trees start from the lexicons' own evidence and learn from hand labels; an
-isotonic fit on held-out folds turns margins into probabilities.
+Of each sentence: densities of general lexicons by category, nearness of coarse words to second-person words, capitals,
+punctuation, disguised and obfuscated words, and densities of two *learned lexicons*: log-odds of 6 and 10 letters in a
+row, written together whatever stands between them, as the hand labels teach them. A document is a bag of sentences of
+which one is enough, so its features are those of its worst sentence, the maxima over all, and the densities.
+
+The learned lexicons come of two passes: documents first, then (several-instance learning) only the worst sentence of
+each positive document against all sentences of the negative ones. Trees never see a document's features from a lexicon
+that its own label helped to build: the folds of the lexicons are those of the calibration. Boosting starts at the base
+rate; an isotonic fit on the held-out margins turns margins into probabilities.
 
 Defined results: NULL and empty texts score 0; contradicting labels of a document are averaged, and a tie is no label;
-labels of unknown documents are ignored; with fewer than ``LEAST_LABELS`` labels of either kind the evidence alone
-decides; repeated rows score alike; texts of any length are read whole.
+labels of unknown documents are ignored; with fewer than ``LEAST_LABELS`` labels of either kind nothing is learned and
+the general lexicons' evidence alone decides; repeated rows score alike; texts of any length are read whole.
 
-Scale: features are a narrow map. Only the labelled sample (at most ``TRAIN_LIMIT`` documents, a documented bound) is
-joined by broadcast and collected as feature rows; the model that comes back is a few kilobytes. Rates per source are
-aggregated map-side.
+Scale: scoring is a narrow map, computed for a whole Arrow batch at once in numpy. Only the labelled sample (at most
+``TRAIN_LIMIT`` documents and ``TRAIN_CHARS`` characters, documented bounds, whole documents in the order of a hash of
+their id) is joined by broadcast and collected; the model is a table of fixed size (``BUCKETS``) and some trees. Rates
+per source are aggregated map-side.
 """
 
 from __future__ import annotations
 
 import html
-import math
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TRAIN_LIMIT, LEAST_LABELS, THRESHOLD = 20_000, 12, 0.5
+TRAIN_LIMIT, TRAIN_CHARS, LEAST_LABELS, THRESHOLD = 20_000, 40_000_000, 12, 0.5
+#: A label is doubted if its document's held-out probability of it is below this.
+DOUBT = 0.12
+#: Letters in a row that the learned lexicons weigh, and the slots their hashes fall into.
+ORDERS, BUCKETS = (6, 10), 1 << 21
 
 # ------------------------------------------------------------------------------------------------------------ lexicons
-#: Words, matched whole on folded tokens.
-WORDS = {
-    "insult": """idiot idiots moron morons bitch bitches prick pricks asshole assholes arsehole bastard bastards dickhead
-        dickheads scumbag scumbags dumbass jackass dipshit dipshits degenerate degenerates parasite parasites cretin cretins
-        wanker wankers cunt cunts whore whores slut sluts imbecile imbeciles twat tosser bellend shithead fuckwit motherfucker
-        douchebag retard retarded halfwit dimwit simpleton scum lowlife faggot
-        pislik
-        vollidiot arschloch missgeburt hurensohn wichser schlampe fotze trottel drecksau
-        idiota imbecil gilipollas cabron pendejo babaca otario nojento
-        aptal gerizekali salak serefsiz pezevenk orospu connard salope abruti batard""",
-    "coarse": """fuck fucks fucked fucker fucking shit shits shitty bullshit goddamn motherfucking ass asses arse cock cocks
-        dick dicks pussy tits boobs ficken fick fresse foder follar follarte puta mierda merda siktir merde""",
-    "mild": """damn damned bloody hell crap stupid dumb pathetic worthless disgusting filthy dirty lying brainless braindead miserable mist verdammt
-        verdammte maldita maldito droga""",
-    "explicit": """horny nude nudes naked nipples panties orgasm blowjob handjob porn xxx erotic moaned moaning masturbate
-        cum creampie milf nackt desnuda desnudo""",
-    "violence": "kill killed hang hanged skull bullet smash ambulance choke burn burned strangle stab shoot shot rape",
-    "dehuman": "vermin subhuman subhumans rats creatures disease ungeziefer ratas hirsiz breed breeding infest savages",
-    "group": """ashkarim dunfolk velkari velkar velkars tamshi ostrani pelloan pelloans orvish immigrants immigrant southerners
-        foreigners refugees migrants pilgrims milleti""",
-    "second": "you your yours yourself u ur du dich dir dein deine tu te ti seu voce sen seni senin toi",
-    "self": "i me my mine myself ich mir yo fui",
-}
-#: Fragments, matched on the letters of a sentence without anything between them.
-FRAGMENTS = {
-    "threat": """hangyourself worldwillbebetter disappearforgood nobodywouldmissyou findoutwhereyoulive whereyoulive
-        everyoneofyourfingers smashyourskull deserveabullet facedownin withyouinside leaveinanambulance downonyourhead
-        whichtramyoutake iknowwhichtram killyourself watchyourback youaredead breakyourneck slityourthroat putyouinhospital
-        schadeleingeschlagen eingeschlagendu romperlacara quebrartuacara teparto icherschlagdich ichbringdichum gebertirim oldururum""",
-    "implied": """evolutionclearly walkedpastyour mouldwithmore morewitthanyou facelikeyours yourparentsmust morepridethan
-        moretosaythan itsmellsbetter boardforhuman yoursortdoes abitdumber yourdrivel crytoyourmother arsewithamap
-        nobodyonthisboard filthymouth fuckingmouth thatmouthagain tryingtosoundclever holdascrewdriver likeyouwouldsay
-        andalwayswere kissmyass youworthless anyonewhodisagreesisa shutup yourtypeisnot villageislookingfor
-        wasteofoxygen wouldputthat fuckyouall siktirgit beyinsiz hijodeputa inutildemierda
-        bottomofthewell leftyouatthe scrapedsmarter offmyboot neitherthecrayons crayonsnorthe forsomethinglikeyou
-        wouldnottrustyouwith nurbistnichts haltdiefresse erbarmlichesstuck stuckdreck verpissdich
-        calaaboca vaisefoder seumerda ninguemteaguenta pedazodeidiota nadietequiere callate senbirhic kapaceneni""",
-    "hate": """shouldbedriven drivenoutof areadiseaseand needsthecure breedlike shipthemoff roundupthe sterilisethe
-        aremoreofthem sitatthebackand gladwefeedthem havethebrains itsintheirblood yourfingersafterwards smellinthe
-        dirtycreatures creaturesallofthem subhuman awayfromourharbour gobackwhereyou notrealpeople
-        wewerehere thelotofthem youcanbetsome crawledin placewasfineuntil bornthieves theyareborn saounsvermes deviamsumir
-        sindungeziefer gehorenalleraus sontodosratas losechendelpais milletihephirsiz hepsinisurmek
-        sticktothekitchen topeoplewithabrain renalleraus
-        deviamexpulsartodos todosladroes""",
-    "sexual": """fuckyouuntil bendyouover untilyouscream spreadherlegs metolick cockalreadyhard downhispants shemoaned
-        gropedher herpanties fucktonight tookherfrombehind suckedhimoff gotnakedin hadsexon camethreetimes lickeditall ridemydick
-        mytitslook nipplesandall sendnudes sohornyright tradedirtypics dirtypics wetandalone hotwetpussy hotpussy fingerherself
-        nakedgirls titsandass hornywives pussyandcock cockpics werkbankficken nacktaufder vertedesnuda follarte pelada
-        ciplakgor livecam""",
+#: General lexicons of several languages. A word counts if it equals an entry, or begins with one that ends in a hyphen.
+LEXICONS = {
+    "insult": """idiot- moron- imbecil- cretin- dimwit- halfwit- nitwit- asshole- arsehole- bastard- bitch- cunt- twat- whore- slut-
+        dickhead- shithead- dumbass- jackass- dipshit- scumbag- douche- wanker- tosser- bellend- prick- motherfuck- fuckwit- fuckface-
+        retard- lowlife- scum faggot- nigger- loser- coward- degenerate- pervert- parasite-
+        arschloch- hurensohn- wichser- schlampe- fotze- trottel- vollidiot- missgeburt- drecksau- dummkopf- spast
+        idiota- estupid- gilipollas cabron- pendejo- hijoputa- subnormal- maricon- zorra
+        babaca- otario- imbecis vagabund- desgracad- connard- salope- abruti- batard- encule- stronz- coglion- puttan-
+        aptal- gerizekali- salak- serefsiz- pezevenk- orospu- ahmak- klootzak- hoer""",
+    "coarse": """fuck- shit- bullshit- piss- arse ass asses crap- goddamn- cock cocks dick dicks pussy tits boob- balls
+        scheiss- fick- fresse verpiss- foder foda- follar- joder puta- putain mierda- merda- merde caralho- sik- siktir- amk cazzo- vaffanculo""",
+    "mild": """damn- bloody hell stupid- dumb- pathetic- worthless- useless- disgust- filth- ugly- miserable- brainless-
+        mist verdammt- maldit- droga- kahretsin lanet- dumm- blod- ekel- asco- nojent- igren-""",
+    "explicit": """porn- horny nude- naked nipple- pant- orgas- blowjob- handjob- xxx erotic- moan- masturb- cum cumming creampie- milf penis-
+        vagina- anal clit- sex- strip- lick- suck- topless lingerie- nackt- geil- desnud- pelad- nua tesud- excitad- ciplak- azgin- seks-""",
+    "violence": """kill- hang- skull- bullet- smash- ambulance- hospital- choke- burn- strangl- stab- shoot- shot rape- murder- beat- slit-
+        throat- bury- dead die dies punch- knife- hurt- bleed- break- schlag- umbring- tote- mata- matar- romper- quebra- golpe- arrebent- oldur- gebert- vur-""",
+    "dehuman": """vermin- subhuman- cockroach- rat rats disease- plague- infest- breed- savage- animals filth- exterminat- deport- expel-
+        cleans- steriliz- sterilis- inferior- thieves- criminal- invad- creature- dirty ungeziefer- ratten- abschieb- schmarotz- ratas- ladron- echar-
+        expuls- vermes- ladroes hirsiz- asalak- surmek-""",
+    "group": """immigrant- foreigner- refugee- migrant- muslim- jews jewish christian- blacks gays lesbian- gypsies women girls natives
+        auslander- fluchtling- zuwander- inmigrant- extranjer- imigrant- estrangeir- multeci- gocmen- yabanci-""",
+    "second": """you your yours yourself yourselves u ur thou du dich dir dein deine deiner euch ihr tu te ti tus vos usted voce voces seu sua
+        teu tua sen seni sana senin siz sizi toi vous votre ton""",
+    "self": "i me my mine myself we our us ich mir mich mein meine wir yo mi mis eu meu minha ben benim je moi mon",
+    "all": "all every everyone everybody they them their those these none nobody lot alle jeder todos todas tudo esos hepsi bunlar tous",
+    "told": """word- rule- report- moderator- admin- ban banned insult- slur- threat- quote- said says call- article- film- book- song- story
+        regel- beleidig- regla- insulto- regra- kural- hakaret- word wort palabra palavra""",
 }
-#: Insults long enough to be found among letters whose word gaps are misplaced.
-_RUN_ON = "asshole dickhead scumbag dumbass jackass dipshit shithead degenerate imbecile vollidiot arschloch hurensohn".split()
-#: Fragments of harmless senses; a sentence's word hits do not count beside them.
-HARMLESS = """bastardfile secondcut weathervane pussywillow westripthe baremetal breastcancer breastpocket sexeducation
-    adultentry nakedconductor slavecylinder killtheprocess mateioprocesso dicksoldshop insultsslurs slursandthreats
-    accountissuspended beleidigungen ratsgotinto chewedthe vermineverywhere thiefshand aboutracism expulsionofa familyof
-    springlitter feltlikean dumbmistake stupidquestion painintheback bloodyrain hellofajob thatisonefine shootmea
-    onanailso burnedmyfinger schraubewarnackt verdammteschraube secomieron cabledesnudo malditatuerca kellerwarenratten
-    fareler quedroga wasprintedonthe cameoutoftheprinter womensteam rideitallnight hititharder chokethe sucksair
-    dirtyitcould dyingslowly glueisworthless singlechip lovelymarket rebuiltthe helpedmecarry beimtragengeholfen vendenpiezas
-    iscokiyi ourrepairclub goodbookon diedin nutsandscrews avideoofit""".split()
+CATEGORIES = tuple(LEXICONS)
+_CAT = {c: k for k, c in enumerate(CATEGORIES)}
+#: Flags of a token beside its categories: a lexicon word in disguise, letters mixed with digits or signs, capitals.
+_DISGUISED, _MIXED, _CAPITALS = (len(CATEGORIES) + k for k in range(3))
+_WIDTH = len(CATEGORIES) + 3
+#: Words of these categories are looked for behind disguises.
+_HIDDEN = ("insult", "coarse", "explicit", "violence", "dehuman")
 
 _LOOKALIKE = str.maketrans("аеорсухіјѕԁһкмтвнАЕОРСУХІЈЅКМТВНοαερικνυτΟΑΕΡΙΚΝΥΤı", "aeopcyxijsdhkmtbhAEOPCYXIJSKMTBHoaepikvutOAEPIKNYTi")
 _UNSEEN = regex.compile(r"[\p{Mn}\p{Cf}]+")
 _FOREIGN = re.compile(r"\S*[^\x00-\x7f\s]\S*")
 _LATIN = re.compile("[A-Za-z]")
-_NON_LETTERS = re.compile("[^a-z]+")
 _LEET = str.maketrans("0134578@$!|€¡", "oieastbasilei")
-_MARKUP = re.compile(r"<[^<>\n]{1,80}>|\[/?(?:quote|b|i|u|color|url|code|img|size)\b[^\]\n]{0,60}\]", re.I)
+_MARKUP = re.compile(r"<[^<>\n]*>|\[/?(?:quote|b|i|u|color|url|code|img|size)\b[^\]\n]*\]", re.I)
 _SPACED = re.compile(r"(?<![^\W\d_])[^\W_](?:[ .\-_*·]{1,3}[^\W_]){3,}(?![^\W\d_])")
+#: Cheaper to look for first: three letters pulled apart.
+_MAYBE_SPACED = re.compile(r"[\s.\-_*·>\]\"'(,:;!?][^\W_][ .\-_*·]{1,3}[^\W_][ .\-_*·]{1,3}[^\W_][ .\-_*·]")
+_JOINTS = re.compile(r"[ .\-_*·]")
 _SENTENCE = re.compile(r"[.!?…]+(?:\s+|$)|\n+")
-_TOKEN = re.compile(r"[^\W_][\w@$!|*#€¡'-]*[\w$*]|\w")
+_TOKEN = re.compile(r"[^\W_][\w@$!|*#€¡'-]*[\w$*]|[@$][A-Za-z][\w@$!|*#€¡'-]*[\w$*]|\w")
 _STRETCH = re.compile(r"(.)\1{2,}")
 _RUNS = re.compile(r"(.)\1+")
+_SIGNS = re.compile(r"[0-9@$!|€¡*#]")
 
 
 @lru_cache(maxsize=1)
-def _tables():
-    import ahocorasick
-
-    word_of: dict[str, list[str]] = {}
-    for category, words in WORDS.items():
+def _tables() -> tuple[dict[str, tuple[str, ...]], dict[str, list[tuple[str, str]]]]:
+    """Whole words with their categories; stems by their first two letters."""
+    whole: dict[str, list[str]] = {}
+    stems: dict[str, list[tuple[str, str]]] = {}
+    for category, words in LEXICONS.items():
         for w in words.split():
-            word_of.setdefault(w, []).append(category)
-    squeezed = {_RUNS.sub(r"\1", w): w for w in word_of if len(w) > 3}
-    starred: dict[int, list[str]] = {}
-    for w in word_of:
-        if len(w) > 3 and not {"second", "self", "group"} & set(word_of[w]):
-            starred.setdefault(len(w), []).append(w)
-    trie = ahocorasick.Automaton()
-    for category, fragments in FRAGMENTS.items():
-        for f in fragments.split():
-            trie.add_word(f, (category, f))
-    for f in HARMLESS:
-        trie.add_word(f, ("harmless", f))
-    for f in _RUN_ON:
-        trie.add_word(f, ("insult", f))
-    trie.make_automaton()
-    return word_of, squeezed, starred, trie
+            if w.endswith("-"):
+                stems.setdefault(w[:2], []).append((w[:-1], category))
+            else:
+                whole.setdefault(w, []).append(category)
+    return {w: tuple(c) for w, c in whole.items()}, stems
+
+
+def categories_of(word: str) -> set[str]:
+    whole, stems = _tables()
+    return {*whole.get(word, ()), *(c for stem, c in stems.get(word[:2], ()) if word.startswith(stem))}
+
+
+@lru_cache(maxsize=1)
+def _hidden_words() -> tuple[dict[str, str], dict[int, list[str]]]:
+    """What starred and stretched words may stand for: without doubled letters, and by length."""
+    words = [w.rstrip("-") for c in _HIDDEN for w in LEXICONS[c].split()]
+    by_length: dict[int, list[str]] = {}
+    for w in words:
+        if len(w) > 3:
+            for form in (w, w + "s", w + "ing"):
+                by_length.setdefault(len(form), []).append(form)
+    return {_RUNS.sub(r"\1", w): w for w in words if len(w) > 3}, by_length
 
 
 def _repaired(word: re.Match) -> str:
@@ -145,37 +137,53 @@ def _repaired(word: re.Match) -> str:
         return word[0]
 
 
+def _together(spaced: re.Match) -> str:
+    """Letters pulled apart, joined; a single-letter word at either end stays a word of its own if that uncovers one."""
+    word = _JOINTS.sub("", spaced[0])
+    low = word.lower().translate(_LEET)
+    if not categories_of(low):
+        if categories_of(low[1:]) & set(_HIDDEN):
+            return f"{word[0]} {word[1:]}"
+        if categories_of(low[:-1]) & set(_HIDDEN):
+            return f"{word[:-1]} {word[-1]}"
+    return word
+
+
 def fold(text: str) -> str:
-    """Without markup, invisible characters, accents and (within words that also have Latin letters) look-alikes."""
-    text = html.unescape(text)
-    text = _MARKUP.sub("\n", text)
+    """Without markup, invisible characters, accents and (within words that also have Latin letters) look-alikes; letters
+    that were pulled apart are joined."""
+    if "&" in text:
+        text = html.unescape(text)
+    if "<" in text or "[" in text:
+        text = _MARKUP.sub("\n", text)
     if "Ã" in text:
         text = re.sub(r"\S*Ã\S*", _repaired, text)
     if not text.isascii():
         text = _UNSEEN.sub("", unicodedata.normalize("NFKD", text))
         text = _FOREIGN.sub(lambda m: m[0].translate(_LOOKALIKE) if _LATIN.search(m[0]) else m[0].replace("ı", "i"), text)
-    return text.replace("’", "'")
+    text = text.replace("’", "'")
+    return _SPACED.sub(_together, text) if _MAYBE_SPACED.search(" " + text) else text
 
 
 def plain_word(token: str) -> tuple[str, bool]:
-    """The lexicon word a token stands for (else the token in lower case) and whether it was disguised."""
-    word_of, squeezed, starred, _ = _tables()
+    """The word a token stands for, in lower case, and whether it had to be uncovered."""
     low = token.lower()
-    if low in word_of:
+    if categories_of(low):
         return low, False
-    bare = re.sub(r"['\-]", "", low)
-    if bare in word_of:
-        return bare, len(bare) > 3
-    if re.search(r"[0-9@$!|€¡]", bare) and re.search("[a-z]", bare):
+    bare = low.replace("'", "").replace("-", "")
+    if bare != low and len(bare) > 3 and categories_of(bare) & set(_HIDDEN):
+        return bare, True
+    squeezed, by_length = _hidden_words()
+    if _SIGNS.search(bare) and not bare.isdigit():
         leet = bare.translate(_LEET)
-        if leet in word_of:
+        if categories_of(leet):
             return leet, True
+        if "*" in bare or "#" in bare:
+            pattern = re.compile("".join("." if c in "*#" else re.escape(c) for c in leet) + "$")
+            for w in by_length.get(len(leet), ()):
+                if pattern.match(w):
+                    return w, True
         bare = leet
-    if "*" in bare or "#" in bare:
-        pattern = re.compile("".join("." if c in "*#" else re.escape(c) for c in bare) + "$")
-        for w in starred.get(len(bare), ()):
-            if pattern.match(w):
-                return w, True
     if _STRETCH.search(bare):
         w = squeezed.get(_RUNS.sub(r"\1", bare))
         if w:
@@ -183,93 +191,240 @@ def plain_word(token: str) -> tuple[str, bool]:
     return low, False
 
 
-#: What a sentence yields, and what a document is judged by.
-CATEGORIES = (*WORDS, *FRAGMENTS, "harmless", "disguised")
-_SENTENCE_FEATURES = (*CATEGORIES, "evidence", "near", "group_dehuman", "insult_second", "capitals", "marks")
-FEATURES = (*(f"max_{f}" for f in _SENTENCE_FEATURES), *(f"per_100_{c}" for c in CATEGORIES if c not in ("second", "self")), "sum_evidence", "log_tokens")
+class _Vocabulary(dict):
+    """Tokens numbered as they come, with their flags and what they are written out as. It only saves work, and is emptied
+    when large."""
+
+    def __init__(self):
+        super().__init__()
+        self.rows: list[tuple[bool, ...]] = []
+        self.plain: list[str] = []
+
+    def __missing__(self, token: str) -> int:
+        word, disguised = plain_word(token)
+        found = categories_of(word)
+        mixed = len(token) > 2 and bool(_SIGNS.search(token, 1)) and bool(_LATIN.search(token)) and not token[0].isdigit()
+        row = (*(c in found for c in CATEGORIES), disguised, mixed, len(token) > 1 and token.isupper() and token.isalpha())
+        self[token] = len(self.rows)
+        self.rows.append(row)
+        self.plain.append(word.translate(_LEET) if mixed and not disguised else word)
+        return self[token]
+
+    def empty(self) -> None:
+        self.clear()
+        self.rows.clear()
+        self.plain.clear()
 
+    def flags(self) -> np.ndarray:
+        return np.array(self.rows, dtype=np.float32).reshape(len(self.rows), _WIDTH)
 
-_KNOWN: dict[str, tuple[str, bool, tuple[str, ...]]] = {}
-_NO_HITS = (0.0,) * (len(CATEGORIES) + 4)
-_UPPER, _ALPHA = re.compile("[A-Z]+"), re.compile("[A-Za-z]+")
-_HIDES = frozenset(("insult", "coarse", "explicit"))
 
+_VOCABULARY = _Vocabulary()
 
-def _learn(token: str) -> tuple[str, bool, tuple[str, ...]]:
-    """A token's word, whether it was disguised, and its categories; kept, since tokens repeat."""
-    word, disguised = plain_word(token)
-    if len(_KNOWN) > 300_000:
-        _KNOWN.clear()
-    out = _KNOWN[token] = (word, disguised, tuple(_tables()[0].get(word, ())))
+
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Which code points are letters (of the basic plane; all beyond count as letters)."""
+    return np.array([chr(k).isalpha() for k in range(1 << 16)])
+
+
+@dataclass(frozen=True)
+class Parsed:
+    """Texts taken apart: sentences with their document, tokens' flags with their sentence, letters in a row, hashed."""
+
+    documents: int
+    doc: np.ndarray  # of sentences
+    flags: np.ndarray  # of tokens
+    sentence: np.ndarray  # of tokens
+    marks: np.ndarray  # of sentences: signs of excitement a character
+    grams: tuple[np.ndarray, ...]  # by order: slots
+    gram_sentence: tuple[np.ndarray, ...]
+
+
+def parse(texts: list[str | None]) -> Parsed:
+    if len(_VOCABULARY) > 500_000:
+        _VOCABULARY.empty()
+    number, written, ids, lengths, docs, marks, plain = _VOCABULARY, _VOCABULARY.plain, [], [], [], [], []
+    for k, text in enumerate(texts):
+        if not text:
+            continue
+        for s in _SENTENCE.split(fold(text)):
+            tokens = _TOKEN.findall(s)
+            if tokens:
+                here = [number[t] for t in tokens]
+                ids += here
+                lengths.append(len(tokens))
+                docs.append(k)
+                marks.append((s.count("!") + s.count("*")) / len(s))
+                plain.append("".join([written[i] for i in here]))
+    n = len(docs)
+    flags = number.flags()[np.array(ids, dtype=np.int64)] if ids else np.zeros((0, _WIDTH), np.float32)
+    sentence = np.repeat(np.arange(n), np.array(lengths, dtype=np.int64)) if n else np.zeros(0, np.int64)
+    codes = np.frombuffer("\n".join(plain).encode("utf-32-le", "replace"), dtype=np.uint32)
+    of = np.cumsum(codes == 10)
+    kept = _letters()[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+    codes, of = codes[kept].astype(np.uint64), of[kept]
+    short = ORDERS[0]
+    h = np.zeros(max(0, len(codes) - short + 1), dtype=np.uint64)
+    for k in range(short):
+        h *= np.uint64(0x100000001B3)
+        h += codes[k : k + len(h)]
+    slots, where = [], []
+    for order in ORDERS:
+        m = max(0, len(codes) - order + 1)
+        # The longer ones are made of two short ones that overlap.
+        mixed = h[:m] if order == short else h[:m] * np.uint64(0x9E3779B97F4A7C15) + h[order - short : order - short + m]
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        inside = of[:m] == of[order - 1 : order - 1 + m]
+        slots.append((mixed[inside] >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64))
+        where.append(of[:m][inside])
+    return Parsed(len(texts), np.array(docs, dtype=np.int64), flags, sentence, np.array(marks), tuple(slots), tuple(where))
+
+
+# ---------------------------------------------------------------------------------------------------- learned lexicons
+def _odds(good: np.ndarray, bad: np.ndarray, n_good: float, n_bad: float) -> np.ndarray:
+    """Log-odds of slots by how many units of either kind show them, drawn towards 0 by their standard error; 0 for slots
+    that fewer than three show."""
+    out = np.zeros(len(good), dtype=np.float32)
+    at = np.flatnonzero(good + bad >= 3)
+    g, b = good[at] + 0.5, bad[at] + 0.5
+    w = np.log(b / (n_bad + 1)) - np.log(g / (n_good + 1))
+    out[at] = np.sign(w) * np.maximum(0, np.abs(w) - 0.7 * np.sqrt(1 / b + 1 / g))
     return out
 
 
-@lru_cache(maxsize=50_000)
-def _sentence(raw: str) -> tuple[tuple[float, ...], int]:
-    """Features of one sentence, and its number of tokens."""
-    trie = _tables()[3]
-    known = _KNOWN
-    words = [known.get(t) or _learn(t) for t in _TOKEN.findall(raw)]
-    squeezed = _NON_LETTERS.sub("", "".join([w[0] for w in words]))
-    seen = {hit for _, hit in trie.iter(squeezed)} if squeezed else ()
-    hits = [(k, w) for k, w in enumerate(words) if w[2]]
-    cased = sum(map(len, _ALPHA.findall(raw)))
-    capitals = sum(map(len, _UPPER.findall(raw))) / cased if cased > 7 else 0.0
-    marks = sum(map(raw.count, "!*$@#")) / max(1, len(raw))
-    if not hits and not seen:
-        return (*_NO_HITS, capitals, marks), len(words)
-    n = dict.fromkeys(CATEGORIES, 0)
-    where: dict[str, list[int]] = {"insult": [], "coarse": [], "second": []}
-    for k, (_, disguised, categories) in hits:
-        for category in categories:
-            n[category] += 1
-            if disguised and category in _HIDES:
-                n["disguised"] += 1
-            if category in where:
-                where[category].append(k)
-    for category, _ in seen:
-        n[category] += category != "insult" or not n["insult"]
-    if n["harmless"]:
-        for category in ("insult", "coarse", "mild", "explicit", "violence", "dehuman", "disguised"):
-            n[category] = 0
-        where["insult"] = where["coarse"] = []
-    bad = where["insult"] + where["coarse"]
-    near = max((1 / (1 + abs(a - b)) for a in bad for b in where["second"]), default=0.0) if len(bad) * len(where["second"]) < 400 else 1.0
-    fragments = sum(n[c] for c in FRAGMENTS)
-    insult_second = float(n["insult"] > 0 and n["second"] > 0)
-    group_dehuman = float(n["group"] > 0 and n["dehuman"] + n["hate"] > 0)
-    evidence = fragments + n["insult"] * (0.6 if n["self"] and not n["second"] else 1.0) + n["disguised"] + 0.5 * n["coarse"] + 0.4 * n["explicit"] + group_dehuman
-    return (*(float(n[c]) for c in CATEGORIES), float(evidence), near, group_dehuman, insult_second, capitals, marks), len(words)
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=values[:1] - 1) != 0]
+
+
+@dataclass(frozen=True)
+class _Shown:
+    """Which slots a unit shows, each pair once; by order, for documents and for sentences as units."""
+
+    parsed: Parsed
+    of_documents: tuple[tuple[np.ndarray, np.ndarray], ...]
+    of_sentences: tuple[tuple[np.ndarray, np.ndarray], ...]
+
+    @staticmethod
+    def of(parsed: Parsed) -> _Shown:
+        once = lambda unit, slots: np.divmod(_distinct(unit * BUCKETS + slots), BUCKETS)
+        grams = list(zip(parsed.grams, parsed.gram_sentence))
+        return _Shown(parsed, tuple(once(parsed.doc[where], slots) for slots, where in grams), tuple(once(where, slots) for slots, where in grams))
+
+
+def _tally(shown: tuple[np.ndarray, np.ndarray], chosen: np.ndarray) -> np.ndarray:
+    """In how many chosen units each slot occurs."""
+    unit, slots = shown
+    return np.bincount(slots[chosen[unit]], minlength=BUCKETS).astype(np.float64)
+
+
+def learn_lexicons(shown: _Shown, y: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Weights of all slots by order, from the documents of ``use`` (a mask) with labels ``y``."""
+    parsed = shown.parsed
+    bad, good = use & (y > 0.5), use & (y <= 0.5)
+    first = [_odds(_tally(s, good), _tally(s, bad), good.sum(), bad.sum()) for s in shown.of_documents]
+    # The second pass: of a positive document its worst sentence stands for all, unless nothing in it looks bad at all.
+    total = sum(_means(parsed, k, w)[0] for k, w in enumerate(first))
+    worst = _worst(parsed, total)
+    picked = np.zeros(len(parsed.doc), dtype=bool)
+    picked[worst[worst >= 0]] = True
+    picked &= total > 0
+    bad_s, good_s = bad[parsed.doc] & picked, good[parsed.doc]
+    return tuple(_odds(_tally(s, good_s), _tally(s, bad_s), good_s.sum(), bad_s.sum()) for s in shown.of_sentences)
+
+
+def _means(parsed: Parsed, k: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By sentence, of one order: the mean weight, the greatest, and the share of slots that speak for it."""
+    n, where = len(parsed.doc), parsed.gram_sentence[k]
+    w = weights[parsed.grams[k]]
+    count = np.maximum(np.bincount(where, minlength=n), 1)
+    most = np.zeros(n, dtype=np.float32)
+    if len(w):
+        starts = np.flatnonzero(np.diff(where, prepend=-1))  # slots come in the order of their sentences
+        most[where[starts]] = np.maximum(np.maximum.reduceat(w, starts), 0)
+    return np.bincount(where, w, n) / count, most, np.bincount(where, w > 1, n) / count
+
+
+def _worst(parsed: Parsed, badness: np.ndarray) -> np.ndarray:
+    """The index of each document's worst sentence; -1 where it has none."""
+    out = np.full(parsed.documents, -1, dtype=np.int64)
+    order = np.argsort(badness, kind="stable")
+    out[parsed.doc[order]] = order
+    return out
+
+
+# ------------------------------------------------------------------------------------------------------------ features
+_LEARNED = tuple(f"{f}_{k}" for k in ORDERS for f in ("mean", "most", "share"))
+SENTENCE_FEATURES = (*CATEGORIES, "disguised", "mixed", "capitals", "near", "marks", "directed", "against_group", "menace", "evidence", *_LEARNED)
+_DENSE = ("insult", "coarse", "mild", "explicit", "violence", "dehuman", "disguised", "mixed", "capitals")
+FEATURES = (*(f"max_{f}" for f in SENTENCE_FEATURES), *(f"worst_{f}" for f in SENTENCE_FEATURES), *(f"per_100_{f}" for f in _DENSE), "log_tokens")
+
+
+def _nearness(a: np.ndarray, b: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
+    """By sentence: 1 / (1 + least distance in words) between a word of ``a`` and one of ``b`` (positions, ascending)."""
+    out = np.zeros(n)
+    if not len(a) or not len(b):
+        return out
+    after = np.searchsorted(b, a)
+    for at in (np.minimum(after, len(b) - 1), np.maximum(after - 1, 0)):
+        same = sentence[b[at]] == sentence[a]
+        np.maximum.at(out, sentence[a[same]], 1 / (1 + np.abs(b[at[same]] - a[same])))
+    return out
+
+
+def _plain_table(parsed: Parsed) -> tuple[np.ndarray, np.ndarray]:
+    """The features of each sentence that no learned lexicon has part in, and its number of tokens."""
+    n = len(parsed.doc)
+    if not n:
+        return np.zeros((0, len(SENTENCE_FEATURES) - len(_LEARNED))), np.zeros(0)
+    starts = np.flatnonzero(np.diff(parsed.sentence, prepend=-1))
+    counts = np.add.reduceat(parsed.flags, starts, axis=0)
+    tokens = np.bincount(parsed.sentence, minlength=n).astype(np.float64)
+    at = lambda *names: np.flatnonzero(parsed.flags[:, [_CAT[c] for c in names]].any(axis=1))
+    c = {name: counts[:, k] for name, k in _CAT.items()}
+    second = at("second")
+    near = _nearness(at("insult", "coarse"), second, parsed.sentence, n)
+    menace = _nearness(at("violence"), second, parsed.sentence, n) * (c["violence"] + (c["self"] > 0))
+    directed = (c["insult"] > 0) * ((c["second"] > 0) + (c["all"] > 0) + 0.5 * (c["self"] == 0))
+    against = np.minimum(c["group"], 1) * np.minimum(c["dehuman"] + c["insult"], 2)
+    evidence = directed + against + 0.6 * (c["explicit"] + c["coarse"] >= 2) + 0.4 * c["explicit"] + 0.5 * near * (c["coarse"] > 0) + 0.4 * menace + counts[:, _DISGUISED] - 0.5 * c["told"]
+    columns = [*counts.T[: len(CATEGORIES)], counts[:, _DISGUISED], counts[:, _MIXED], counts[:, _CAPITALS] / tokens, near, parsed.marks]
+    return np.stack([*columns, directed, against, menace, evidence], axis=1).astype(np.float64), tokens
+
+
+def dense(parsed: Parsed, lexicons: tuple[np.ndarray, ...] | None, plain: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """The features of each document, in the order of ``FEATURES``. ``plain``: what ``_plain_table`` gave, if it is known."""
+    width, d, n = len(SENTENCE_FEATURES), parsed.documents, len(parsed.doc)
+    out = np.zeros((d, len(FEATURES)))
+    if not n:
+        return out
+    table, tokens = plain or _plain_table(parsed)
+    learned = [f for k in range(len(ORDERS)) for f in (_means(parsed, k, lexicons[k]) if lexicons is not None else [np.zeros(n)] * 3)]
+    table = np.concatenate([table, np.stack(learned, axis=1)], axis=1)
+    starts = np.flatnonzero(np.diff(parsed.doc, prepend=-1))
+    mine = parsed.doc[starts]
+    out[mine, :width] = np.maximum.reduceat(table, starts, axis=0)
+    means = [SENTENCE_FEATURES.index(f"mean_{k}") for k in ORDERS]
+    badness = table[:, means].sum(axis=1) if lexicons is not None else table[:, SENTENCE_FEATURES.index("evidence")]
+    out[mine, width : 2 * width] = table[_worst(parsed, badness)[mine]]
+    total = np.add.reduceat(tokens, starts)
+    sums = np.add.reduceat(table[:, [SENTENCE_FEATURES.index(f) for f in _DENSE]], starts, axis=0)
+    out[mine, 2 * width : -1] = 100 * sums / total[:, None]
+    out[mine, -1] = np.log1p(total)
+    return out
 
 
 def features(text: str | None) -> np.ndarray:
-    """The dense features of a text, in the order of ``FEATURES``."""
-    if not text:
-        return np.zeros(len(FEATURES))
-    folded = _SPACED.sub(lambda m: re.sub(r"[ .\-_*·]", "", m[0]), fold(text))
-    width = len(_SENTENCE_FEATURES)
-    found, tokens = [(0.0,) * width], 0
-    for sentence in _SENTENCE.split(folded):
-        sentence = sentence.strip(" \t>|:-–")
-        if sentence:
-            values, n = _sentence(sentence) if len(sentence) < 400 else _sentence.__wrapped__(sentence)
-            found.append(values)
-            tokens += n
-    table = np.array(found)
-    most, total = table.max(axis=0), table.sum(axis=0)
-    density = [100 * total[k] / max(1, tokens) for k, c in enumerate(CATEGORIES) if c not in ("second", "self")]
-    return np.array([*most, *density, total[_SENTENCE_FEATURES.index("evidence")], math.log1p(tokens)])
+    """The dense features of one text without any learned lexicon."""
+    return dense(parse([text]), None)[0]
 
 
 # --------------------------------------------------------------------------------------------------------------- model
 _EVIDENCE = FEATURES.index("max_evidence")
 
 
-def prior_margin(x: np.ndarray) -> np.ndarray:
-    """The log-odds that the lexicons alone would give; boosting starts here."""
-    return np.where(x[:, _EVIDENCE] >= 0.9, 2.0, -2.5) + np.minimum(x[:, _EVIDENCE], 0.9)
-
-
 @dataclass(frozen=True)
 class Tree:
     """feature, threshold and children by node; a leaf has feature -1 and a value."""
@@ -293,10 +448,16 @@ class Tree:
         return np.array(self.value)[at]
 
 
+#: Cut points of a feature; also the width of its histogram.
+_CUTS = 32
+
+
 def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, cuts: list[np.ndarray], depth: int, least: float, ridge: float) -> Tree:
-    """One regression tree on gradients and curvatures, split at the given cut points. ``bins``: by feature and row, the
-    number of cut points below the value."""
+    """One regression tree on gradients and curvatures. ``bins``: by row and feature, the number of cut points below the
+    value, offset so that all features share one histogram."""
     nodes: list[list] = []
+    columns = len(cuts)
+    real = np.arange(_CUTS + 1)[None, :] < np.array([len(c) for c in cuts])[:, None]
 
     def build(rows: np.ndarray, level: int) -> int:
         me = len(nodes)
@@ -305,22 +466,16 @@ def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, cuts: list[np.ndarray],
         nodes.append([-1, 0.0, 0, 0, G / (H + ridge)])
         if level == depth or H < 2 * least:
             return me
-        best, chosen = 1e-6, None
-        for j, points in enumerate(cuts):
-            if not len(points):
-                continue
-            at = bins[j][rows]
-            gl = np.cumsum(np.bincount(at, of_g, len(points) + 1))[:-1]
-            hl = np.cumsum(np.bincount(at, of_h, len(points) + 1))[:-1]
-            gain = gl**2 / (hl + ridge) + (G - gl) ** 2 / (H - hl + ridge) - G**2 / (H + ridge)
-            gain[(hl < least) | (H - hl < least)] = 0
-            k = int(np.argmax(gain))
-            if gain[k] > best:
-                best, chosen = gain[k], (j, k)
-        if chosen:
-            j, k = chosen
-            low = bins[j][rows] <= k
-            nodes[me][:2] = [j, float(cuts[j][k])]
+        flat = bins[rows].ravel()
+        size = columns * (_CUTS + 1)
+        gl = np.bincount(flat, np.repeat(of_g, columns), size).reshape(columns, -1).cumsum(axis=1)
+        hl = np.bincount(flat, np.repeat(of_h, columns), size).reshape(columns, -1).cumsum(axis=1)
+        gain = gl**2 / (hl + ridge) + (G - gl) ** 2 / (np.maximum(H - hl, 0) + ridge) - G**2 / (H + ridge)
+        gain[(hl < least) | (H - hl < least) | ~real] = 0
+        j, k = np.unravel_index(int(np.argmax(gain)), gain.shape)
+        if gain[j, k] > 1e-6:
+            low = bins[rows, j] - j * (_CUTS + 1) <= k
+            nodes[me][:2] = [int(j), float(cuts[j][k])]
             nodes[me][2] = build(rows[low], level + 1)
             nodes[me][3] = build(rows[~low], level + 1)
         return me
@@ -329,29 +484,36 @@ def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, cuts: list[np.ndarray],
     return Tree(*(tuple(c) for c in zip(*nodes)))
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, rate: float = 0.1, depth: int = 3, least: float = 3.0, ridge: float = 2.0) -> list[Tree]:
-    """Gradient boosting of the logistic loss; leaf values are already scaled by the rate."""
+@dataclass(frozen=True)
+class Boosted:
+    base: float
+    trees: tuple[Tree, ...]
+
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        out = np.full(len(x), self.base)
+        for tree in self.trees:
+            out = out + tree.predict(x)
+        return out
+
+
+def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, rate: float = 0.15, depth: int = 3, least: float = 3.0, ridge: float = 2.0) -> Boosted:
+    """Gradient boosting of the logistic loss from the base rate; leaf values are already scaled by the rate."""
     cuts = []
     for j in range(x.shape[1]):
-        values = np.unique(x[:, j])
+        values = _distinct(x[:, j])
         middle = (values[1:] + values[:-1]) / 2
-        cuts.append(middle if len(middle) <= 32 else np.unique(np.quantile(middle, np.linspace(0, 1, 32))))
-    bins = np.stack([np.searchsorted(points, x[:, j], side="left") for j, points in enumerate(cuts)])
-    margin, trees = prior_margin(x), []
+        cuts.append(middle if len(middle) <= _CUTS else np.unique(np.quantile(middle, np.linspace(0, 1, _CUTS))))
+    bins = np.stack([np.searchsorted(points, x[:, j], side="left") + j * (_CUTS + 1) for j, points in enumerate(cuts)], axis=1)
+    rated = np.clip(y.mean(), 1e-3, 1 - 1e-3)
+    base, trees = float(np.log(rated / (1 - rated))), []
+    margin = np.full(len(y), base)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-margin))
         tree = grow(bins, y - p, p * (1 - p), cuts, depth, least, ridge)
         tree = Tree(tree.feature, tree.threshold, tree.left, tree.right, tuple(rate * v for v in tree.value))
         margin = margin + tree.predict(x)
         trees.append(tree)
-    return trees
-
-
-def raw_margin(trees: list[Tree], x: np.ndarray) -> np.ndarray:
-    out = prior_margin(x)
-    for tree in trees:
-        out = out + tree.predict(x)
-    return out
+    return Boosted(base, tuple(trees))
 
 
 def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -371,60 +533,92 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    trees: tuple[Tree, ...]
-    knots: tuple[float, ...]
-    values: tuple[float, ...]
+    """Lexicons as slots and weights by order, trees, and the knots of the calibration. Without trees: the evidence."""
+
+    lexicons: tuple[tuple[np.ndarray, np.ndarray], ...] = ()
+    boosted: Boosted | None = None
+    knots: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    values: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def tables(self) -> tuple[np.ndarray, ...] | None:
+        """The lexicons as tables of all slots."""
+        if self.boosted is None:
+            return None
+        out = []
+        for slots, weights in self.lexicons:
+            table = np.zeros(BUCKETS, dtype=np.float32)
+            table[slots] = weights
+            out.append(table)
+        return tuple(out)
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        margin = raw_margin(list(self.trees), x)
-        return np.interp(margin, self.knots, self.values) if self.knots else 1 / (1 + np.exp(-margin))
-
-
-def fit(x: np.ndarray, y: np.ndarray, folds: int = 5) -> Model:
-    """Trees on all rows, calibrated by the margins that each fifth gets from the trees of the others."""
-    if min((y >= 0.5).sum(), (y < 0.5).sum()) < LEAST_LABELS:
-        return Model((), (), ())
-    held = np.zeros(len(y))
-    part = np.arange(len(y)) % folds
-    for k in range(folds):
-        held[part == k] = raw_margin(boost(x[part != k], y[part != k]), x[part == k])
-    knots, values = isotonic(held, y)
-    return Model(tuple(boost(x, y)), tuple(knots), tuple(values))
+        if self.boosted is None:
+            return 1 / (1 + np.exp(-(4 * x[:, _EVIDENCE] - 4)))
+        return np.interp(self.boosted.margin(x), self.knots, self.values)
+
+
+def _held_out(shown: _Shown, y: np.ndarray, use: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features of all documents from lexicons of the other folds, and their margins from trees of the other folds;
+    only documents of ``use`` teach anything."""
+    x, held = np.zeros((len(y), len(FEATURES))), np.zeros(len(y))
+    plain = _plain_table(shown.parsed)
+    for k in range(part.max() + 1):
+        x[part == k] = dense(shown.parsed, learn_lexicons(shown, y, use & (part != k)), plain)[part == k]
+    for k in range(part.max() + 1):
+        held[part == k] = boost(x[use & (part != k)], y[use & (part != k)]).margin(x[part == k])
+    return x, held
+
+
+def fit(texts: list[str], y: np.ndarray, folds: int = 5) -> Model:
+    """A model of labelled texts. Each fifth gets its features from lexicons of the others, and its held-out margin from
+    trees of the others. Labels that their document's held-out probability contradicts (``DOUBT``) are taken for errors of
+    the hand and left out of a second round, whose lexicons, trees and calibration are kept."""
+    if min((y > 0.5).sum(), (y <= 0.5).sum()) < LEAST_LABELS:
+        return Model()
+    shown = _Shown.of(parse(texts))
+    part, use = np.arange(len(y)) % folds, np.ones(len(y), dtype=bool)
+    x, held = _held_out(shown, y, use, part)
+    p = np.interp(held, *isotonic(held, y))
+    doubted = (np.abs(y - p) > 1 - DOUBT) & ~((y > 0.5) & (x[:, _EVIDENCE] >= 1))
+    if min((y[~doubted] > 0.5).sum(), (y[~doubted] <= 0.5).sum()) >= LEAST_LABELS:
+        use = ~doubted
+        x, held = _held_out(shown, y, use, part)
+    knots, values = isotonic(held[use], y[use])
+    lexicons = learn_lexicons(shown, y, use)
+    kept = tuple((np.flatnonzero(w).astype(np.int32), w[w != 0].astype(np.float16)) for w in lexicons)
+    return Model(kept, boost(x[use], y[use]), knots, values)
 
 
 # --------------------------------------------------------------------------------------------------------------- Spark
-def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [features(t).tolist() for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["h"], batch["y"], pa.array(rows, pa.list_(pa.float64()))], names=["h", "y", "x"])
-
-
-def train(documents: DataFrame, labels: DataFrame, row_id: str, text: str, label: str, limit: int = TRAIN_LIMIT) -> Model:
-    """A model from hand labels (1 or 0, possibly several for a document) of at most ``limit`` documents, those with
-    the smallest hash of their id."""
+def labelled(documents: DataFrame, labels: DataFrame, row_id: str, text: str, label: str, limit: int = TRAIN_LIMIT, chars: int = TRAIN_CHARS) -> DataFrame:
+    """y and text of the sample: labelled documents in the order of a hash of their id, as many as the bounds admit."""
     voted = labels.where(F.col(label).isNotNull() & F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("id")).agg(F.avg(label).alias("y"))
     voted = voted.where("y != 0.5").orderBy(F.xxhash64("id"), "id").limit(limit)
     texts = documents.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
     sample = texts.join(F.broadcast(voted), "id").where("text IS NOT NULL AND text != ''").select("id", "y", "text").dropDuplicates(["id"])
-    # The sample is small in bytes but dear in features: spread it, against the adaptive merging of small partitions.
-    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = sample.withColumn("h", F.xxhash64("id")).select("h", "y", "text").repartition(tasks, "h")
-    rows = rows.mapInArrow(_feature_batches, "h long, y double, x array<double>").toPandas()
+    upto = F.sum(F.length("text")).over(Window.orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0))  # of a sample: one task is enough
+    return sample.withColumn("h", F.xxhash64("id")).withColumn("upto", upto).where(F.col("upto") <= chars).select("h", "y", "text")
+
+
+def train(documents: DataFrame, labels: DataFrame, row_id: str, text: str, label: str, limit: int = TRAIN_LIMIT) -> Model:
+    """A model from hand labels (1 or 0, possibly several for a document) of at most ``limit`` documents."""
+    rows = labelled(documents, labels, row_id, text, label, limit).toPandas()
     if not len(rows):
-        return Model((), (), ())
+        return Model()
     rows = rows.sort_values("h", kind="stable")  # folds and trees do not depend on how tasks end
-    return fit(np.array(rows["x"].tolist(), dtype=float), (rows["y"].to_numpy() > 0.5).astype(float))
+    return fit(rows["text"].tolist(), (rows["y"].to_numpy() > 0.5).astype(float))
 
 
 def score(documents: DataFrame, row_id: str, text: str, source: str, model: Model) -> DataFrame:
     """row id, source and the probability that the text holds abusive, hateful or sexual language."""
     kind = documents.schema[row_id].dataType.simpleString()
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # a table of fixed size and some trees
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = shared.value.tables()
         for batch in batches:
             texts = batch["text"].to_pylist()
-            x = np.array([features(t) for t in texts]).reshape(len(texts), len(FEATURES))
-            p = np.where([bool(t) for t in texts], model.probability(x), 0.0) if texts else np.zeros(0)
+            p = np.where([bool(t) for t in texts], shared.value.probability(dense(parse(texts), tables)), 0.0) if texts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch["id"], batch["source"], pa.array(p, pa.float64())], names=["id", "source", "probability"])
 
     rows = documents.select(F.col(row_id).alias("id"), F.col(source).cast("string").alias("source"), F.col(text).cast("string").alias("text"))
