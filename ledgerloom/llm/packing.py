@@ -3,8 +3,9 @@
 Items are hashed to groups of about ``GROUP_CAPACITIES`` containers' worth of tokens. In a group of k containers, every
 item starts as a partial partition of its own (one container holds it, the others nothing). The two partial partitions
 with the largest imbalance are merged, fullest against emptiest, until one is left: its containers are nearly equal. If
-the fullest exceeds the capacity, the number of containers rises by one and the group is differenced anew, but never
-beyond what first-fit-decreasing needs, which is then taken.
+the fullest exceeds the capacity, its items and another container's are divided anew (``level``): differencing leaves
+containers so nearly equal that little has to move wherever there is room at all. If that does not do, differencing is
+repeated on slightly changed sizes; then the number of containers rises by one.
 
 Defined results: an item longer than the capacity, and only such a one, is split into full containers and a rest; an
 item without size (NULL, 0 or negative) takes no room and has no container; equal and repeated items are placed
@@ -97,17 +98,69 @@ def differencing(sizes: np.ndarray, k: int) -> np.ndarray:
     return np.array([roots[find(i)] for i in range(n)], dtype=np.int64)
 
 
+def _closest(sizes: list[int], most: int) -> tuple[int, list[int]]:
+    """The greatest sum of some of the sizes that is not above ``most``, and which they are."""
+    reach = [1]  # bit s of the k-th: the first k sizes can give s
+    cut = (1 << (most + 1)) - 1
+    for x in sizes:
+        reach.append((reach[-1] | (reach[-1] << x)) & cut)
+    best = left = reach[-1].bit_length() - 1
+    chosen = []
+    for k in range(len(sizes), 0, -1):
+        if not (reach[k - 1] >> left) & 1:
+            chosen.append(k - 1)
+            left -= sizes[k - 1]
+    return best, chosen
+
+
+def level(sizes: np.ndarray, container: np.ndarray, k: int, capacity: int) -> bool:
+    """Divide items anew, in place, until no container exceeds the capacity; False if that does not help any more.
+
+    The fullest container is paired with each other one, those with most room first: their items are split so that the
+    other is filled as far as it can be. The first pair that rids the fullest of its excess is taken, else the best one."""
+    sums = np.bincount(container, weights=sizes, minlength=k).astype(np.int64)
+    while (over := int(sums.max()) - capacity) > 0:
+        full = int(np.argmax(sums))
+        mine = np.flatnonzero(container == full)
+        best = (0, None)
+        for other in np.argsort(sums, kind="stable")[: k - 1]:
+            if sums[other] + best[0] >= capacity:
+                break  # no more room than was gained already
+            items = np.concatenate([np.flatnonzero(container == other), mine])
+            filled, chosen = _closest(sizes[items].tolist(), capacity)
+            gain = filled - int(sums[other])
+            if gain > best[0]:
+                best = gain, (int(other), items, chosen)
+            if gain >= over:
+                break
+        if best[1] is None:
+            return False
+        gain, (other, items, chosen) = best
+        container[items] = full
+        container[items[chosen]] = other
+        sums[full] -= gain
+        sums[other] += gain
+    return True
+
+
+#: Differencings of slightly changed sizes that are tried before another container is added.
+RESTARTS = 6
+
+
 def pack(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """Container numbers for items of at most the capacity each."""
     if not len(sizes):
         return np.zeros(0, dtype=np.int64)
-    fallback = first_fit_decreasing(sizes, capacity)
-    most = int(fallback.max()) + 1
-    for k in range(max(1, -(-int(sizes.sum()) // capacity)), most + 1):
-        found = differencing(sizes, k)
-        if np.bincount(found, weights=sizes, minlength=k).max() <= capacity:
-            return found
-    return fallback
+    # No two items of more than half a container share one.
+    k = max(1, -(-int(sizes.sum()) // capacity), int((2 * sizes > capacity).sum()))
+    while True:
+        rng = np.random.default_rng(k)
+        for again in range(RESTARTS + 1):
+            changed = sizes if not again else np.maximum(1, np.rint(sizes * (1 + 0.03 * again / RESTARTS * rng.standard_normal(len(sizes))))).astype(np.int64)
+            found = differencing(changed, k)
+            if level(sizes, found, k, capacity):
+                return found
+        k += 1
 
 
 def _pack_group(capacity: int):
