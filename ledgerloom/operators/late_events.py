@@ -13,17 +13,28 @@ Defined results:
 * NULL measures count as events and add nothing to a sum; a sum over NULLs only is NULL;
 * ties and repeated rows are separate events (drop repeated deliveries first); an empty table gives empty results.
 
+``DeltaLog`` keeps the state: a table of all deltas, partitioned by event date. A batch of arrivals reads the state of the
+event dates it touches, emits and appends the deltas against it, under the batch's id; delivered again it adds nothing.
+
+Which events are late is decided once, where events are routed to corrections or rejections (``routed``); the deltas are
+made of the routed events, and the list of late events is that routing itself, without a detour through the aggregates.
+
 Scale: deltas are built from counts and sums aggregated map-side by (key, event date, arrival), so a hot key never
-moves its events. The window over versions sees at most ``cutoff`` + the early days rows of one aggregate.
+moves its events. The window over versions sees at most ``cutoff`` + the early days rows of one aggregate. A batch reads
+the log of no other event dates than its own, which the cut-off keeps few.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+if TYPE_CHECKING:
+    from ledgerloom.plans.store import TableStore
+
 ON_TIME, LATE, TOO_LATE = "on_time", "late", "too_late"
 
 
@@ -47,27 +58,36 @@ class LateEvents:
     def _lateness(self) -> Column:
         return lateness(F.col(self.event_date), F.col(self.arrival), self.late_from, self.cutoff)
 
+    def routed(self) -> DataFrame:
+        """The events with their ``lateness`` (a column of that name gives way); those that cannot be placed are left out."""
+        return self.events.withColumn("lateness", self._lateness()).where("lateness IS NOT NULL")
+
     def versions(self) -> DataFrame:
         """What each arrival day brings to each aggregate: count and sum, by lateness."""
-        placed = self.events.withColumn("lateness", self._lateness()).where("lateness IS NOT NULL")
-        return placed.groupBy(*self.keys, self.event_date, self.arrival, "lateness").agg(
+        return self.routed().groupBy(*self.keys, self.event_date, self.arrival, "lateness").agg(
             F.count(F.lit(1)).alias("n"), F.sum(self.measure).alias("total")
         )
 
-    def changelog(self) -> DataFrame:
+    def changelog(self, state: DataFrame | None = None) -> DataFrame:
         """The signed deltas: key, event date, version (arrival day), sign, rows_count, total, kind.
 
         ``kind`` is 'first' for an aggregate's first value, 'correction' for the pairs that retract and replace it,
-        'rejected' (sign 0) for what came after the cut-off.
+        'rejected' (sign 0) for what came after the cut-off. ``state``: the aggregates that were published before these
+        events (key, event date, rows_count, total), against which the first versions are corrections.
         """
         group = [*self.keys, self.event_date]
         versions = self.versions()
-        order = Window.partitionBy(*group).orderBy(self.arrival)
-        kept = versions.where(F.col("lateness") != TOO_LATE).select(
-            *group, self.arrival, "lateness",
+        rows = versions.where(F.col("lateness") != TOO_LATE).withColumn("__turn", F.lit(1))
+        if state is not None:
+            # What was published before comes before all versions.
+            known = state.select(*group, F.lit(None).cast("date").alias(self.arrival), F.lit(None).cast("string").alias("lateness"), F.col("rows_count").alias("n"), "total", F.lit(0).alias("__turn"))
+            rows = rows.unionByName(known)
+        order = Window.partitionBy(*group).orderBy("__turn", self.arrival)
+        kept = rows.select(
+            *group, self.arrival, "lateness", "__turn",
             F.sum("n").over(order).alias("new_n"), F.sum("total").over(order).alias("new_total"),
         )
-        kept = kept.withColumn("old_n", F.lag("new_n").over(order)).withColumn("old_total", F.lag("new_total").over(order))
+        kept = kept.withColumn("old_n", F.lag("new_n").over(order)).withColumn("old_total", F.lag("new_total").over(order)).where("__turn = 1")
         kind = F.when(F.col("old_n").isNull(), F.lit("first")).otherwise(F.lit("correction"))
 
         def delta(sign: int, n: str, total: str) -> Column:
@@ -90,16 +110,9 @@ class LateEvents:
         return apply_deltas(deltas, [*self.keys, self.event_date])
 
     def corrected_by(self) -> DataFrame:
-        """The events which a published value had to be corrected for, or could not be: all that the changelog's late
-        versions brought, with their lateness. Columns of the events are kept."""
-        late = self.changelog().where((F.col("lateness") != ON_TIME) & (F.col("sign") >= 0))
-        group = [*self.keys, self.event_date]
-        late = late.select(*[F.col(g).alias(f"__{g}") for g in group], F.col("version").alias("__version"), F.col("lateness").alias("__lateness"))
-        events = self.events.withColumn("__is", self._lateness()).where(F.col("__is") != ON_TIME)
-        same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
-        joined = events.join(late, [*same, F.col(self.arrival) == F.col("__version"), F.col("__is") == F.col("__lateness")], "inner")
-        kept = [events[c] for c in self.events.columns if c != "lateness"]  # a column of that name gives way
-        return joined.select(*kept, F.col("__lateness").alias("lateness"))
+        """The events which a published value had to be corrected for, or could not be: those routed as late or too late,
+        with all their columns."""
+        return self.routed().where(F.col("lateness") != ON_TIME)
 
 
 def apply_deltas(deltas: DataFrame, group: list[str]) -> DataFrame:
@@ -107,3 +120,31 @@ def apply_deltas(deltas: DataFrame, group: list[str]) -> DataFrame:
     return deltas.groupBy(*group).agg(
         F.sum(F.col("sign") * F.col("rows_count")).alias("rows_count"), F.sum(F.col("sign") * F.col("total")).alias("total")
     )
+
+
+@dataclass(frozen=True)
+class DeltaLog:
+    """The kept state of per-period aggregates: a table of signed deltas in a store (``plans.store.TableStore``)."""
+
+    store: TableStore
+    name: str
+
+    def take(self, late: LateEvents, batch: str) -> bool:
+        """Emit and keep the deltas of a batch of arrivals. False if the batch is in the log already, which then stays as it is."""
+        if self.store.has_batch(self.name, batch):
+            return False
+        group, state = [*late.keys, late.event_date], None
+        if self.store.exists(self.name):
+            days = [r[0] for r in late.versions().where(F.col("lateness") != TOO_LATE).select(late.event_date).distinct().collect()]  # days, not rows
+            state = apply_deltas(self.store.read_days(self.name, late.event_date, days).where("sign != 0"), group)
+        deltas = late.changelog(state)
+        kinds = {c: t for c, t in deltas.dtypes}
+        deltas = deltas.withColumn("total", F.col("total").cast("decimal(38,4)")) if kinds["total"].startswith("decimal") else deltas
+        return self.store.append(self.name, deltas.withColumn("batch", F.lit(batch)), [late.event_date], batch)
+
+    def deltas(self) -> DataFrame:
+        return self.store.read(self.name)
+
+    def state(self, group: list[str]) -> DataFrame:
+        """The aggregates as known now, at the log's grouping or any coarser one."""
+        return apply_deltas(self.deltas().where("sign != 0"), group)

@@ -59,10 +59,14 @@ def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return rows.withColumn("__rank", first).where("__rank = 1").drop("__rank")
 
 
-def merge_latest(target: DataFrame, source: DataFrame, keys: list[str], content: str, order: list[Column]) -> DataFrame:
-    """The target after an upsert: per key the newest source row where its content differs, else the target's row."""
+def merge_latest(target: DataFrame, source: DataFrame, keys: list[str], content: str, order: list[Column], correction: str | None = None) -> DataFrame:
+    """The target after an upsert: per key the newest source row where its content differs, else the target's row.
+    ``correction``: a column that becomes true in rows that replaced one, false in rows that are new."""
     new = latest(source, keys, order)
-    same = target.select(*keys, F.col(content).alias("__had"))
-    changed = new.join(same, keys, "left").where(~F.col(content).eqNullSafe(F.col("__had"))).drop("__had")
+    same = target.select(*keys, F.col(content).alias("__had"), F.lit(True).alias("__known"))
+    changed = new.join(same, keys, "left").where(F.col("__known").isNull() | ~F.col(content).eqNullSafe(F.col("__had")))
+    if correction is not None:
+        changed = changed.withColumn(correction, F.col("__known").isNotNull())
+    changed = changed.drop("__had", "__known")
     kept = target.join(changed.select(*keys), keys, "left_anti")
     return kept.unionByName(changed.select(*target.columns))

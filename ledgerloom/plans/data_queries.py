@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import keys as K
 from ledgerloom.operators.asof import Versions, valid_at
 from ledgerloom.operators.copies import Side, copy_differences
-from ledgerloom.operators.exactly_once import repeated_deliveries
+from ledgerloom.operators.exactly_once import periods, repeated_deliveries
 from ledgerloom.operators.instants import InstantDictionary
-from ledgerloom.operators.late_events import LateEvents
+from ledgerloom.operators.late_events import DeltaLog, LateEvents
 from ledgerloom.operators.units import amount_in_main_units, daily_quotes, normalized_quotes, with_number
-from ledgerloom.storage import materialize
+from ledgerloom.plans.store import TableStore
+from ledgerloom.storage import fresh_path, materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,17 +63,37 @@ def _late_events(spark: SparkSession, sf_dir: str) -> LateEvents:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that the operator routes to corrections or rejections."""
     return _late_events(spark, sf_dir).corrected_by().select("event_id", "lateness")
 
 
+#: Batches of arrivals in which the table is replayed.
+REPLAYS = 3
+
+
+def _delta_log(spark: SparkSession, sf_dir: str) -> DeltaLog:
+    """The log after the table's arrivals were taken in as batches, in order, each against the state the others left."""
+    late = _late_events(spark, sf_dir)
+    events = materialize(late.events, "kept-events")
+    log = DeltaLog(TableStore(spark, fresh_path(spark, "late")), "deltas")
+    days = events.groupBy("arrival").count().orderBy(F.col("arrival").asc_nulls_last()).collect()  # a histogram of days
+    for n, (low, high) in enumerate(periods([(d["arrival"], d["count"]) for d in days], REPLAYS)):
+        inside = F.col("arrival") >= F.lit(low) if low is not None else F.col("arrival").isNull()
+        inside = inside if high is None else inside & (F.col("arrival") <= F.lit(high))
+        log.take(LateEvents(events.where(inside), late.keys, late.event_date, late.arrival, late.measure), f"arrivals-{n}")
+    if not days:
+        log.take(LateEvents(events, late.keys, late.event_date, late.arrival, late.measure), "nothing")
+    return log
+
+
 def p3_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every signed delta: retracted and replacing aggregates by arrival day."""
-    return _late_events(spark, sf_dir).changelog().withColumn("total", F.col("total").cast("decimal(38,4)"))
+    return _delta_log(spark, sf_dir).deltas().drop("batch").withColumn("total", F.col("total").cast("decimal(38,4)"))
 
 
 def p3_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aggregates after all corrections."""
-    out = _late_events(spark, sf_dir).as_of()
+    out = _delta_log(spark, sf_dir).state(["operator_code", "business_date"])
     return out.withColumn("total", F.col("total").cast("decimal(38,4)"))
 
 

@@ -69,3 +69,41 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; raises if it is there already, so that of two writers one wins. A reader sees all of it or none:
+    it is written beside and renamed."""
+    target, fs = _file_system(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    beside, _ = _file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(beside, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(beside, target):
+        fs.delete(beside, False)
+        raise FileExistsError(path)
+
+
+def list_texts(spark: SparkSession, folder: str) -> list[str]:
+    """The contents of a folder's small files; none if there is no such folder."""
+    target, fs = _file_system(spark, folder)
+    if not fs.exists(target):
+        return []
+    out = []
+    for status in fs.listStatus(target):
+        if status.isFile() and not status.getPath().getName().startswith(".") and not status.getPath().getName().endswith(".tmp"):
+            stream = fs.open(status.getPath())
+            try:
+                out.append(bytes(stream.readAllBytes()).decode())
+            finally:
+                stream.close()
+    return out

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators.exactly_once import IdentifierIndex
-from ledgerloom.operators.late_events import LateEvents
+from ledgerloom.operators.late_events import DeltaLog, LateEvents
 from ledgerloom.plans.store import TableStore
 
 
@@ -21,10 +21,10 @@ def read_files(spark: SparkSession, path: str, schema: StructType, fmt: str = "p
 
 
 def into_store(stream: DataFrame, store: TableStore, name: str, keys: list[str], content: str, order: Callable[[], list[Column]], checkpoint: str) -> StreamingQuery:
-    """Upsert each micro-batch by key. A batch delivered again changes nothing: the upsert compares contents."""
+    """Upsert each micro-batch by key. A batch delivered again changes nothing: the store knows its number."""
 
-    def merge(batch: DataFrame, _: int) -> None:
-        store.upsert(name, batch, keys, content, order())
+    def merge(batch: DataFrame, number: int) -> None:
+        store.upsert(name, batch, keys, content, order(), batch=f"{checkpoint}#{number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -36,23 +36,24 @@ def deduplicated(stream: DataFrame, keys: list[str], event_time: str, delay: str
 
 def copies_by_index(stream: DataFrame, index: IdentifierIndex, key: Callable[[], list[Column]], row_id: str, arrival: str, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Feed micro-batches to a persistent identifier index; ``sink`` gets the row ids to drop. Exact over all history,
-    where the watermark variant forgets."""
+    where the watermark variant forgets. A micro-batch that the stream retries gets the verdicts of its first attempt: it
+    is named by the checkpoint and its number."""
 
     def ingest(batch: DataFrame, number: int) -> None:
-        sink(index.ingest(batch, key(), F.col(row_id), F.col(arrival)), number)
+        sink(index.ingest(batch, key(), F.col(row_id), F.col(arrival), f"{checkpoint}#{number}"), number)
 
     return stream.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def corrections(stream: DataFrame, store: TableStore, name: str, make: Callable[[DataFrame], LateEvents], checkpoint: str) -> StreamingQuery:
-    """Keep signed deltas of per-period aggregates: each micro-batch is one or several arrival versions and appends the
-    rows its events contribute, by group and version; readers sum the signed rows (``apply_deltas``)."""
+    """Keep signed deltas of per-period aggregates (``DeltaLog``): each micro-batch retracts the values it changes and emits
+    what replaces them; readers sum the signed rows. A micro-batch that the stream retries is known by its number."""
+    log = DeltaLog(store, name)
 
-    def append(batch: DataFrame, number: int) -> None:
-        versions = make(batch).versions().where("lateness != 'too_late'")
-        store.append(name, versions.withColumn("batch", F.lit(number)).withColumn("sign", F.lit(1)).withColumnRenamed("n", "rows_count"))
+    def take(batch: DataFrame, number: int) -> None:
+        log.take(make(batch), f"{checkpoint}#{number}")
 
-    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_totals(stream: DataFrame, event_time: str, width: str, delay: str, keys: list[str], measure: str) -> DataFrame:

@@ -82,3 +82,69 @@ def test_periods_cover_all_days():
     assert cut[-1][1] is None and cut[0][0] == dt.date(2025, 1, 1) and len(cut) <= 4
     assert periods([], 3) == [] and periods([(None, 2)], 3) == [(None, None)]
     assert X.order_rows(*[np.array([1, 1])] * 3, np.array(["b", "a"]))[0].tolist() == [1, 0]
+
+
+def batch(spark, n, ids):
+    return spark.createDataFrame([(f"{n}-{k}", "o", i, dt.date(2025, 1, 1 + n)) for k, i in enumerate(ids)], "event string, op string, id string, arrival date")
+
+
+def take(index, df, name=None):
+    return sorted(r[0] for r in index.ingest(df, [F.col("op"), F.col("id")], F.col("event"), F.col("arrival"), name).collect())
+
+
+def test_reopened_index_knows_its_history(spark):
+    path = fresh_path(spark, "kept")
+    first = IdentifierIndex(spark, path, merge_every=3)
+    assert take(first, batch(spark, 0, ["A", "B"]), "m0") == [] and take(first, batch(spark, 1, ["B", "C", "C"]), "m1") == ["1-0", "1-2"]
+    again = IdentifierIndex(spark, path, merge_every=3)
+    assert take(again, batch(spark, 2, ["A", "D"]), "m2") == ["2-0"]
+    assert sorted(r[0] for r in again.copies().collect()) == ["1-0", "1-2", "2-0"] and again.manifests[-1]["merged"]
+
+
+def test_batch_delivered_again_gets_its_first_verdicts(spark):
+    path = fresh_path(spark, "retried")
+    index = IdentifierIndex(spark, path)
+    assert take(index, batch(spark, 0, ["A", "B", "A"]), "m0") == ["0-2"]
+    for again in (index, IdentifierIndex(spark, path)):
+        assert take(again, batch(spark, 0, ["A", "B", "A"]), "m0") == ["0-2"] and len(again.manifests) == 1
+    assert take(index, batch(spark, 1, ["B"]), "m1") == ["1-0"]
+
+
+def test_lost_batch_is_done_anew(spark, monkeypatch):
+    path = fresh_path(spark, "lost")
+    with monkeypatch.context() as m:
+        m.setattr(X, "create_text", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        try:
+            take(IdentifierIndex(spark, path), batch(spark, 0, ["A", "B"]), "m0")
+        except RuntimeError:
+            pass
+    index = IdentifierIndex(spark, path)
+    assert index.manifests == [] and take(index, batch(spark, 0, ["A", "B"]), "m0") == []
+
+
+def test_two_writers_of_one_number(spark):
+    path = fresh_path(spark, "raced")
+    a, b = IdentifierIndex(spark, path), IdentifierIndex(spark, path)
+    take(a, batch(spark, 0, ["A"]), "m0")
+    try:
+        take(b, batch(spark, 1, ["A"]), "m1")
+        raise AssertionError("the second writer must not win")
+    except FileExistsError:
+        pass
+    assert take(IdentifierIndex(spark, path), batch(spark, 1, ["A"]), "m1") == ["1-0"]
+
+
+def test_prefixes_split_as_identifiers_accumulate(spark, monkeypatch):
+    monkeypatch.setattr(X, "PREFIX_ROWS", 20)
+    index = IdentifierIndex(spark, fresh_path(spark, "grown"), merge_every=10)
+    seen, counts = set(), []
+    for n in range(4):
+        ids = [f"T{(k * 37 + n * 211) % 900}" for k in range(250)]
+        want = []
+        for k, i in enumerate(ids):
+            if i in seen:
+                want.append(f"{n}-{k}")
+            seen.add(i)
+        assert take(index, batch(spark, n, ids), f"m{n}") == sorted(want)
+        counts.append(index.manifests[-1]["prefixes"])
+    assert counts[0] == 8 and counts[-1] >= 32 and sum(m["novel"] for m in index.manifests) == len(seen)
