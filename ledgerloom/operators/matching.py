@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from decimal import Decimal
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ class Rules:
     weights: dict[str, str] = field(default_factory=lambda: {"identity": "0.60", "amount": "0.20", "plan": "0.10", "same_day": "0.10"})
     revenue: tuple[str, ...] = ("subscription_success", "recursion_success")
     contra: tuple[str, ...] = ("refund",)
+    other: tuple[str, ...] = ("recursion_failure", "cancel")
     require_amount: bool = False
     #: Days around a single day that are loaded to reconcile it: chains of contested candidates longer than this are cut.
     reach_days: int = 7
@@ -32,6 +34,28 @@ class Rules:
     def money(self) -> tuple[str, ...]:
         return self.revenue + self.contra
 
+    @property
+    def types(self) -> tuple[str, ...]:
+        """All canonical types."""
+        return self.money + self.other
+
+
+def load_rules(text_or_path: str) -> Rules:
+    """Rules from YAML: a mapping of their fields, as ``reconciliation`` or at the top. What is not named keeps its default."""
+    import yaml
+
+    text = Path(text_or_path).read_text() if "\n" not in text_or_path and Path(text_or_path).exists() else text_or_path
+    config = yaml.safe_load(text) or {}
+    given, known = config.get("reconciliation", config), Rules.__dataclass_fields__
+    unknown = sorted(set(given) - set(known))
+    if unknown:
+        raise ValueError(f"unknown rules: {', '.join(unknown)}")
+    kinds = {"absolute": str, "relative": str, "floor": str, "revenue": tuple, "contra": tuple, "other": tuple}
+    out = {k: kinds.get(k, lambda x: x)(v) for k, v in given.items()}
+    if "weights" in out:
+        out["weights"] = {**Rules().weights, **{k: str(v) for k, v in out["weights"].items()}}
+    return Rules(**out)
+
 
 #: The columns a ledger needs here; ``identity`` is the user (on the partner's side resolved through a bridge).
 LEDGER = ("event_id", "operator_code", "partner_txn_id", "identity", "txn_type", "plan_code", "amount", "business_date", "ts", "arrival")

@@ -62,6 +62,7 @@ def platform_ledger(initial: DataFrame, success: DataFrame, failure: DataFrame,
             F.col("sub_id").cast("string").alias("sub_id"), plan.alias("plan_code"), kind.alias("txn_type"), cycle.cast("int").alias("billing_cycle"),
             amount.cast(AMOUNT).alias("amount_original"), F.lit(reporting).alias("currency_original"), F.col(ts).cast("timestamp").alias("txn_ts_utc"),
             F.to_date(F.col(ts).cast("timestamp")).alias("business_date"), reason.alias("failure_reason"),
+            (F.col("source_file") if "source_file" in df.columns else text).alias("source_file"),
             F.sha2(F.concat_ws("||", F.lit("platform"), "operator_code", F.lit(key), F.col(key).cast("string")), 256).alias("event_id"),
         )
 

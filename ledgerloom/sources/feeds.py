@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions import keys as K
 from ledgerloom.functions.money import AMOUNT, RATE
+from ledgerloom.operators.matching import Rules
 
 FORMATS = ("csv", "json")
 #: What a timestamp can hold, as milliseconds; beyond it timestamp_millis would raise.
@@ -34,6 +35,8 @@ class FeedSpec:
     decimal_comma: bool = False
     negative_amount_means_refund: bool = False
     reporting_currency: str = "USD"
+    reporting_timezone: str = "UTC"
+    canonical_types: tuple[str, ...] = Rules().types
 
     def __post_init__(self):
         if self.file_format not in FORMATS:
@@ -111,6 +114,11 @@ def parsed_instant(spec: FeedSpec, text: Column) -> Column:
     return F.when(zoned, F.try_to_timestamp(text)).otherwise(F.to_utc_timestamp(local, spec.timezone))
 
 
+def reporting_date(instant: Column, zone: str) -> Column:
+    """The calendar day of an instant in the zone that the business reports in."""
+    return F.to_date(instant if zone == "UTC" else F.from_utc_timestamp(instant, zone))
+
+
 def canonical_type(spec: FeedSpec, text: Column) -> Column:
     pairs = [x for k, v in spec.txn_type_map.items() for x in (F.lit(k.lower()), F.lit(v))]
     return F.create_map(*pairs)[F.lower(F.trim(text.cast("string")))]
@@ -138,7 +146,8 @@ def conform(raw: DataFrame, spec: FeedSpec) -> DataFrame:
         F.upper(F.coalesce(get("currency").cast("string"), F.lit(spec.currency))).alias("currency_original"), parsed_instant(spec, get("txn_ts")).alias("txn_ts_utc"),
         "source_file", "file_arrival_date", "raw_row_hash",
     )
-    out = out.withColumn("business_date", F.to_date("txn_ts_utc")).withColumn("dq_unmapped_type", F.col("txn_type").isNull())
+    unknown = F.col("txn_type").isNull() | ~F.col("txn_type").isin(*spec.canonical_types)
+    out = out.withColumn("business_date", reporting_date(F.col("txn_ts_utc"), spec.reporting_timezone)).withColumn("dq_unmapped_type", unknown)
     hashed = K.record_hash(*[F.col(c) for c in ("operator_code", "partner_txn_id", "account_id", "txn_type", "amount_original", "txn_ts_utc")])
     out = out.withColumn("record_hash", hashed)
     return out.withColumn("event_id", F.sha2(F.concat_ws("||", F.lit("partner"), "operator_code", F.coalesce("partner_txn_id", "record_hash")), 256))
