@@ -275,6 +275,15 @@ def _block_keys(side: str):
                     keys.append(f"l|{tail}|{last[:3]}")
                 if post and len(last) > 2:
                     keys.append(f"q|{post}|{last}")
+                # Short names say less, so they go with more beside them.
+                if 0 < len(whole) <= 5 and year:
+                    keys.append(f"n|{whole}|{year}")
+                if 0 < len(last) <= 3 and year and city:
+                    keys.append(f"s|{last}|{year}|{city}")
+                if 0 < len(last) <= 2 and tail:
+                    keys.append(f"l|{tail}|{last}|")
+                if 0 < len(last) <= 2 and post and year:
+                    keys.append(f"q|{post}|{last}|{year}")
                 out += [(r["id"], k) for k in keys]
             yield pd.DataFrame(out, columns=["id", "key"])
 

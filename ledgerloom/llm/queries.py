@@ -40,7 +40,7 @@ def _linkage(spark: SparkSession, sf_dir: str) -> Linkage:
     partner, platform = table(spark, sf_dir, "partner_txn"), table(spark, sf_dir, "platform_txn")
     a_ids = a.select("id").distinct()
     # What an older run paired, with its rows' account and user: a hint, taken for registered accounts only.
-    fact = table(spark, sf_dir, "fact_reconciliation_break").where("partner_event_id IS NOT NULL AND platform_event_id IS NOT NULL AND match_method != 'partner_txn_id'")
+    fact = table(spark, sf_dir, "fact_reconciliation_break").where("partner_event_id IS NOT NULL AND platform_event_id IS NOT NULL AND NOT (match_method <=> 'partner_txn_id')")
     accounts = partner.select(F.col("event_id").alias("partner_event_id"), K.account(F.col("account_id")).alias("id")).join(a_ids, "id", "left_semi")
     users = platform.select(F.col("event_id").alias("platform_event_id"), F.col("user_id").alias("u_id")).where("user_id IS NOT NULL")
     old = fact.select("partner_event_id", "platform_event_id").join(accounts, "partner_event_id").join(users, "platform_event_id")
