@@ -170,10 +170,11 @@ def daily_chain(tables: store.TableStore, specs: dict, landing: str, oltp: str,
 
 
 def close_month(tables: store.TableStore, period: str, who: str) -> DataFrame:
-    """Reconcile the days of a month a last time, keep its close, then close it. Returns the close."""
-    first = dt.date.fromisoformat(f"{period}-01")
-    last = (first + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
-    backfill(tables, first, last, period)
+    """Reconcile the days of a month a last time (those of which a ledger or the fact has rows), keep its close, then close
+    it. Returns the close."""
+    held = {d for name in ("partner_txn", "platform_txn", FACT) if tables.exists(name) for d in tables.days(name, "business_date")}
+    for day in sorted(d for d in held if d.strftime("%Y-%m") == period):
+        backfill(tables, day, day, period)
     kept = close_report(tables, period).withColumn("period_month", F.lit(period))
     tables.overwrite_days("monthly_revenue_close", kept, "period_month", kept.sparkSession.createDataFrame([(period,)], "period_month string"), ["period_month"])
     store.close_period(tables, period, who, F.current_timestamp())

@@ -155,16 +155,15 @@ def copy_differences(left: Side, right: Side, missing_left: str, missing_right:
     peeled = materialize(peeled, "peeled")
     revealed = peeled.where("NOT whole").select("bucket", "k").distinct()
     full = peeled.where("whole").select("bucket").distinct()
-    small = revealed.count() <= BROADCAST_KEYS
-    some_full = not full.isEmpty()
+    few, full_buckets = revealed.count() <= BROADCAST_KEYS, full.count()
 
     def fetch(side: Side) -> DataFrame:
         rows = _keyed(side)
         key = [F.col(f"k_{n}") for n in side.key]
         rows = rows.withColumn("bucket", F.pmod(F.hash(*key), F.lit(buckets))).withColumn("k", F.xxhash64(*key))
-        wanted = rows.join(F.broadcast(revealed) if small else revealed, ["bucket", "k"], "left_semi")
-        if some_full:  # buckets are as many as rows / BUCKET_KEYS: their numbers alone are always small
-            wanted = wanted.unionByName(rows.join(F.broadcast(full), "bucket", "left_semi"))
+        wanted = rows.join(F.broadcast(revealed) if few else revealed, ["bucket", "k"], "left_semi")
+        if full_buckets:
+            wanted = wanted.unionByName(rows.join(F.broadcast(full) if full_buckets <= BROADCAST_KEYS else full, "bucket", "left_semi"))
         return _representatives(wanted, side).withColumn("x", F.lit(True))
 
     on = [f"k_{n}" for n in names]

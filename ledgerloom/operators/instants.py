@@ -12,7 +12,8 @@ zone names in brackets, zone abbreviations; RFC 822 dates; month names (``31 Jan
 Defined results: NULL, empty or unreadable texts, impossible dates and the placeholders 0 and -1 give NULL; a local
 time that occurs twice means its first pass; one that a clock change skips is read with the offset before the change;
 fractions are cut to microseconds; an unknown zone name leaves its text unread; blanks around a text do not
-matter, however many.
+matter, however many. An abbreviation that several regions use (BST, IST, CST) means what the source's declared zone calls
+so at that time, and the most common reading only where that zone knows no such abbreviation.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ ABBREVIATIONS = {
     "SGT": 480, "HKT": 480, "JST": 540, "KST": 540, "EAT": 180, "CAT": 120, "SAST": 120, "AST": -240, "ADT": -180,
     "EST": -300, "EDT": -240, "CST": -360, "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420, "BRT": -180,
 }
+#: Abbreviations that mean another offset in the sources of some zones, whose data does not name them itself.
+REGIONAL = {("BST", "Asia/Dhaka"): 360, ("CST", "Asia/Shanghai"): 480, ("CST", "America/Havana"): -300, ("IST", "Asia/Jerusalem"): 120, ("IST", "Europe/Dublin"): 60}
 _MONTHS = {m: k + 1 for k, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
@@ -61,6 +64,10 @@ def _zone(name: str) -> ZoneInfo | None:
         return None
 
 
+def _regional(name: str, own) -> int | None:
+    return REGIONAL.get((name, getattr(own, "key", "")), ABBREVIATIONS.get(name))
+
+
 def _micros(local: datetime, zone) -> int:
     at = local.replace(tzinfo=zone, fold=0)
     return (at - _EPOCH) // timedelta(microseconds=1)
@@ -127,7 +134,11 @@ def _from_parts(g: dict, own, month_first: bool) -> int | None:
         named = _zone(g["zone"])
         return None if named is None else _micros(local, named)
     if g.get("abbr"):
-        minutes = ABBREVIATIONS.get(g["abbr"].upper())
+        name = g["abbr"].upper()
+        for fold in (0, 1):  # the declared zone's own name for its time then, also in the hour that occurs twice
+            if (local.replace(tzinfo=own, fold=fold).tzname() or "").upper() == name:
+                return (local.replace(tzinfo=own, fold=fold) - _EPOCH) // timedelta(microseconds=1)
+        minutes = _regional(name, own)
         return None if minutes is None else _micros(local, timezone(timedelta(minutes=minutes)))
     return _micros(local, own)
 

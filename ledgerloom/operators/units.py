@@ -225,7 +225,7 @@ def normalized_quotes(fx: DataFrame, reporting: str = "USD") -> DataFrame:
     ).where("quote > 0")
     stated = F.coalesce(_rate(F.col("quote"), F.col("stated")), F.col("quote"))
     typical = q.groupBy("currency").agg(F.percentile(stated, 0.5).alias("typical"))
-    q = q.join(F.broadcast(typical), "currency")
+    q = q.join(typical, "currency")
     options = F.array(*[
         F.struct(F.lit(int(b != "direct/1")).alias("rank"), F.lit(b).alias("basis"), F.lit(float(s)).alias("sign"), F.lit(float(m)).alias("scale"))
         for b, (s, m) in quote_graph().items()

@@ -93,22 +93,22 @@ _RAW = r"regexp_replace(regexp_extract(amount, '(-?\s*\d[\d.,''\s]*)', 1), '[\s'
 _FED = rf"""fed AS (SELECT f.*, g.currency AS own, {_RAW} AS n, coalesce(g.decimal_comma, false) AS dc, regexp_matches(lower(amount), '\d[\d.,''\s]*k($|[^a-z])') AS k FROM operator_feed f LEFT JOIN operator_registry g USING (operator_code)),
 fed2 AS (SELECT *, TRY_CAST(CASE WHEN regexp_matches(n, '\..*,[^.]*$') OR (regexp_matches(n, '^[^.,]*,[^.,]*$') AND (dc OR NOT regexp_matches(n, ',\d{{3}}$'))) THEN replace(replace(n, '.', ''), ',', '.')
     WHEN regexp_matches(n, ',.*\.[^,]*$') OR (regexp_matches(n, '^[^.,]*\.[^.,]*$') AND (NOT dc OR NOT regexp_matches(n, '\.\d{{3}}$'))) THEN replace(n, ',', '') ELSE replace(replace(n, '.', ''), ',', '') END AS DOUBLE) * CASE WHEN k THEN 1000 ELSE 1 END AS number FROM fed),
-tb AS (SELECT source_file, source_row, "transaction".value_minor AS number, "transaction".currency AS ccy, remark FROM telco_b_feed),
+tb AS (SELECT source_file, source_row, "transaction".value_minor AS number, "transaction".currency AS ccy, remark, (SELECT any_value(currency) FROM operator_registry WHERE operator_code = 'telco_b') AS own FROM telco_b_feed),
 own AS (SELECT p.*, g.currency AS own, CAST(NULL AS VARCHAR) AS none FROM partner_txn p LEFT JOIN operator_registry g USING (operator_code) WHERE amount_original IS NOT NULL)"""
 _P4 = f"""
 WITH {_units()}, {_QUOTES}, {_FED},
 ours AS {_main("own", "currency_original", "none", "own", "CAST(amount_original AS DOUBLE)", "1.0", "event_id, source_file, source_row, CAST(amount_reporting AS DOUBLE) AS reporting, least(coalesce(business_date, CAST(txn_ts_utc AT TIME ZONE 'UTC' AS DATE)), (SELECT max(rate_date) FROM daily)) AS day")},
 raw AS (SELECT * FROM {_main("fed2", "ccy", "remark", "own", "number", "1.0", "source_file, source_row")} UNION ALL
-  SELECT * FROM {_main("tb", "ccy", "remark", "'PKR'", "number", "coalesce(m.scale, 0.01)", "source_file, source_row")})
+  SELECT * FROM {_main("tb", "ccy", "remark", "own", "number", "coalesce(m.scale, 0.01)", "source_file, source_row")})
 SELECT DISTINCT 'rate' AS record_kind, currency || ':' || strftime(rate_date, '%Y%m%d') AS record_key FROM quotes WHERE basis <> 'direct/1'
 UNION ALL SELECT 'reporting', o.event_id FROM ours o ASOF JOIN daily d ON d.currency = o.main_currency AND o.day >= d.rate_date WHERE abs(o.reporting - o.main * d.rate) > abs(o.main * d.rate) * 0.1 + 1e-9
 UNION ALL SELECT DISTINCT 'original', o.event_id FROM ours o JOIN raw r ON o.source_file = r.source_file AND o.source_row = r.source_row WHERE abs(abs(o.main) - abs(r.main)) > abs(r.main) * 0.1 + 1e-9"""
 
 _ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*(.*)$"
 _OFFSET = r"^([+-])(\d{2}):?(\d{2})?$"
-_P5_FOUND = rf"""
-WITH texts AS (SELECT source_file, source_row, operator_code, trim(event_time) AS t FROM operator_feed
-  UNION ALL SELECT source_file, source_row, 'telco_b', CAST("transaction".ts_epoch_ms AS VARCHAR) FROM telco_b_feed),
+_P5_TEXTS = rf"""
+WITH texts AS (SELECT source_file, source_row, operator_code, event_time AS raw, trim(event_time) AS t FROM operator_feed
+  UNION ALL SELECT source_file, source_row, 'telco_b', CAST("transaction".ts_epoch_ms AS VARCHAR), CAST("transaction".ts_epoch_ms AS VARCHAR) FROM telco_b_feed),
 z AS (SELECT x.*, coalesce(g.timezone, 'UTC') AS zone, coalesce(g.ts_format LIKE 'M%', false) AS month_first, regexp_extract(t, '{_ISO}', 3) AS rest,
   regexp_matches(t, '{_ISO}') AS iso FROM texts x LEFT JOIN operator_registry g USING (operator_code)),
 l AS (SELECT *, CASE WHEN iso THEN TRY_CAST(regexp_extract(t, '{_ISO}', 1) || ' ' || regexp_extract(t, '{_ISO}', 2) || CASE WHEN length(regexp_extract(t, '{_ISO}', 2)) = 5 THEN ':00' ELSE '' END AS TIMESTAMP)
@@ -119,15 +119,17 @@ l AS (SELECT *, CASE WHEN iso THEN TRY_CAST(regexp_extract(t, '{_ISO}', 1) || '
       (CASE WHEN rest LIKE '-%' THEN -1 ELSE 1 END) * (CAST(regexp_extract(rest, '{_OFFSET}', 2) AS INTEGER) * 60 + coalesce(TRY_CAST(regexp_extract(rest, '{_OFFSET}', 3) AS INTEGER), 0))
     WHEN iso THEN CASE rest WHEN 'WAT' THEN 60 WHEN 'CET' THEN 60 WHEN 'CEST' THEN 120 WHEN 'TRT' THEN 180 WHEN 'PKT' THEN 300 WHEN 'EST' THEN -300 WHEN 'EDT' THEN -240 END END AS shift,
   coalesce(nullif(regexp_extract(rest, '^\[([A-Za-z_/]+)\]$', 1), ''), zone) AS at_zone FROM z),
-i AS (SELECT source_file, source_row, CASE WHEN regexp_matches(t, '^\d{{10}}$') THEN make_timestamp(CAST(t AS BIGINT) * 1000000) WHEN regexp_matches(t, '^\d{{13}}$') THEN make_timestamp(CAST(t AS BIGINT) * 1000)
+i AS (SELECT source_file, source_row, raw, CASE WHEN regexp_matches(t, '^\d{{10}}$') THEN make_timestamp(CAST(t AS BIGINT) * 1000000) WHEN regexp_matches(t, '^\d{{13}}$') THEN make_timestamp(CAST(t AS BIGINT) * 1000)
     WHEN regexp_matches(t, '^\d{{16}}$') THEN make_timestamp(CAST(t AS BIGINT)) WHEN shift IS NOT NULL THEN local - to_minutes(shift)
     WHEN iso AND rest <> '' AND rest NOT LIKE '[%' THEN NULL
-    WHEN timezone(at_zone, timezone(at_zone, local) - INTERVAL 1 HOUR) = local THEN timezone('UTC', timezone(at_zone, local) - INTERVAL 1 HOUR) ELSE timezone('UTC', timezone(at_zone, local)) END AS instant FROM l)
+    WHEN timezone(at_zone, timezone(at_zone, local) - INTERVAL 1 HOUR) = local THEN timezone('UTC', timezone(at_zone, local) - INTERVAL 1 HOUR) ELSE timezone('UTC', timezone(at_zone, local)) END AS instant FROM l)"""
+_P5_FOUND = rf"""{_P5_TEXTS}
 SELECT DISTINCT p.event_id FROM partner_txn p JOIN i USING (source_file, source_row)
 WHERE abs(epoch_us(timezone('UTC', p.txn_ts_utc)) - epoch_us(i.instant)) > 60000000"""
 
 ORACLES = {
     "p5_found": _P5_FOUND,
+    "p5_instants": f"{_P5_TEXTS} SELECT source_file, source_row, raw, instant FROM i",
     "p4_found": _P4,
     "p4_quotes": f"WITH {_QUOTES} SELECT currency, rate_date, quote, basis, round(rate, 8) AS rate FROM quotes",
     "p1_found": _P1,

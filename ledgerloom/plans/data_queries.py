@@ -13,7 +13,7 @@ from ledgerloom.operators.instants import InstantDictionary
 from ledgerloom.operators.late_events import DeltaLog, LateEvents
 from ledgerloom.operators.units import amount_in_main_units, daily_quotes, normalized_quotes, with_number
 from ledgerloom.plans.store import TableStore
-from ledgerloom.storage import fresh_path, materialize
+from ledgerloom.storage import fresh_path, materialize, small
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,9 +99,9 @@ def p3_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------------------------------------------------- 4: units
 def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What operators declare: a fixed table of a few rows, broadcast."""
+    """What operators declare, one row each; broadcast if it is as small as it should be."""
     columns = ["operator_code", "timezone", F.upper("currency").alias("own_currency"), "ts_format", "decimal_comma"]
-    return F.broadcast(table(spark, sf_dir, "operator_registry").select(*columns).dropDuplicates(["operator_code"]))
+    return small(table(spark, sf_dir, "operator_registry").select(*columns).dropDuplicates(["operator_code"]))
 
 
 def _partner_amounts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -117,28 +117,29 @@ def _raw_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = feed.join(_registry(spark, sf_dir), "operator_code", "left")
     feed = with_number(feed, F.col("amount"), F.coalesce("decimal_comma", F.lit(False)), "number")
     feed = amount_in_main_units(feed, F.col("ccy"), F.col("remark"), F.col("own_currency"), F.col("number"), False)
-    b = table(spark, sf_dir, "telco_b_feed").select("source_file", "source_row", "transaction.value_minor", "transaction.currency", "remark")
-    b = amount_in_main_units(b, F.col("currency"), F.col("remark"), F.lit("PKR"), F.col("value_minor").cast("double"), True)
+    b = table(spark, sf_dir, "telco_b_feed").select("source_file", "source_row", F.lit("telco_b").alias("operator_code"), "transaction.value_minor", "transaction.currency", "remark")
+    b = b.join(_registry(spark, sf_dir), "operator_code", "left")
+    b = amount_in_main_units(b, F.col("currency"), F.col("remark"), F.col("own_currency"), F.col("value_minor").cast("double"), True)
     columns = ["source_file", "source_row", F.col("main_amount").alias("raw_amount")]
     return feed.select(*columns).unionByName(b.select(*columns))
 
 
-def _with_quote(spark: SparkSession, sf_dir: str, rows: DataFrame, currency: str, day: str) -> DataFrame:
-    """Adds the quote of the day. Quotes are currencies times days, a table of fixed size: broadcast."""
-    daily = daily_quotes(normalized_quotes(table(spark, sf_dir, "fx_raw")))
+def _with_quote(quotes: DataFrame, rows: DataFrame, currency: str, day: str) -> DataFrame:
+    """Adds the quote of the day. Quotes are currencies times days; written once, and broadcast if they are few."""
+    daily = materialize(daily_quotes(quotes), "quotes")
     last = daily.agg(F.max("day").alias("last_day"))
     rows = rows.crossJoin(F.broadcast(last)).withColumn("quote_day", F.least(day, "last_day"))
     daily = daily.select(F.col("currency").alias("quote_currency"), F.col("day").alias("quoted"), F.col("rate"))
     on = (F.col(currency) == F.col("quote_currency")) & (F.col("quote_day") == F.col("quoted"))
-    return rows.join(F.broadcast(daily), on, "left")
+    return rows.join(small(daily), on, "left")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = normalized_quotes(table(spark, sf_dir, "fx_raw")).where("basis != 'direct/1'")
-    rates = quotes.select(F.lit("rate").alias("record_kind"), F.concat_ws(":", "currency", F.date_format("rate_date", "yyyyMMdd")).alias("record_key")).distinct()
+    quotes = normalized_quotes(table(spark, sf_dir, "fx_raw"))
+    rates = quotes.where("basis != 'direct/1'").select(F.lit("rate").alias("record_kind"), F.concat_ws(":", "currency", F.date_format("rate_date", "yyyyMMdd")).alias("record_key")).distinct()
 
     booked = _partner_amounts(spark, sf_dir, "event_id", "amount_reporting", "business_date", "txn_ts_utc").where("amount_reporting IS NOT NULL")
-    booked = _with_quote(spark, sf_dir, booked.withColumn("booked", _booked()), "main_currency", "booked")
+    booked = _with_quote(quotes, booked.withColumn("booked", _booked()), "main_currency", "booked")
     expected = F.col("main_amount") * F.col("rate")
     off = F.abs(F.col("amount_reporting").cast("double") - expected) > F.abs(expected) * 0.1 + 1e-9
     reporting = booked.where(off).select(F.lit("reporting").alias("record_kind"), F.col("event_id").alias("record_key"))

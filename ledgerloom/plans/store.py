@@ -196,19 +196,20 @@ class TableStore:
         numbers = self._numbers(name)
         used = {p["dir"].split("/")[0] for n in numbers[-keep:] for p in self._manifest(name, n)["parts"]}
         live = {p["dir"] for n in numbers[-keep:] for p in self._manifest(name, n)["parts"]}
-        gone = 0
+        gone, old = 0, set()
         base = f"{self.root}/{name}/data"
         for n in numbers[:-keep]:
             for part in self._manifest(name, n)["parts"]:
+                old.add(part["dir"].split("/")[0])
                 if part["dir"] not in live and path_exists(self.spark, f"{base}/{part['dir']}"):
                     drop_path(self.spark, f"{base}/{part['dir']}")
                     gone += 1
             drop_path(self.spark, f"{self.root}/{name}/manifests/{n:09d}.json")
         folder, fs = self._fs(base)
         for status in fs.listStatus(folder) if fs.exists(folder) else []:
-            if status.getPath().getName() not in used:  # written by a run that did not get to its manifest
+            if status.getPath().getName() not in used:
                 fs.delete(status.getPath(), True)
-                gone += 1
+                gone += status.getPath().getName() not in old  # written by a run that did not get to its manifest
         return gone
 
 

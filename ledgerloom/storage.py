@@ -13,6 +13,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
 _WRITTEN: list[str] = []
@@ -107,3 +108,13 @@ def list_texts(spark: SparkSession, folder: str) -> list[str]:
             finally:
                 stream.close()
     return out
+
+
+#: Rows up to which a side is broadcast; of the narrow tables in question a few megabytes.
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` to be broadcast if it proves to have at most ``rows`` rows, else as it is (a join then shuffles or decides by
+    size). Rows are counted, so give a table that is stored or cheap."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

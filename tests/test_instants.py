@@ -57,3 +57,22 @@ def test_blanks_around_or_within_do_not_matter():
     assert at(" " * 80 + "2025-10-07T12:39:50" + "\t" * 80) == at("2025-10-07" + " " * 80 + "12:39:50") == "2025-10-07 12:39:50"
     assert at("Wednesday, 31 December 2025 at 11:59:59.123456789 p.m. [America/Argentina/ComodRivadavia]") == "2026-01-01 02:59:59.123456"
     assert at("2025-10-07" + " " * 200_000 + "x 1") is None
+
+
+def test_abbreviations_mean_what_their_source_calls_so():
+    at = lambda text, zone: parse_instant(text, zone, False) // 3_600_000_000 % 24
+    assert at("2026-01-10 12:00:00 IST", "Asia/Kolkata") == 6 and at("2026-01-10 12:00:00 IST", "Asia/Jerusalem") == 10
+    assert at("2026-01-10 12:00:00 CST", "Asia/Shanghai") == 4 and at("2026-01-10 12:00:00 CST", "America/Chicago") == 18 and at("2026-01-10 12:00:00 CST", "UTC") == 18
+    assert at("2026-07-10 12:00:00 BST", "Europe/London") == 11 and at("2026-07-10 12:00:00 BST", "Asia/Dhaka") == 6 and at("2026-07-10 12:00:00 BST", "UTC") == 11
+    assert at("2026-10-25 02:30:00 CET", "Europe/Berlin") == 1 and at("2026-10-25 02:30:00 CEST", "Europe/Berlin") == 0  # the hour that occurs twice
+
+
+def test_dictionary_at_a_path_parses_only_what_is_new(spark):
+    path = fresh_path(spark, "kept-instants")
+    rows = lambda *texts: spark.createDataFrame([(t, "UTC", False) for t in texts], "raw string, zone string, month_first boolean")
+    InstantDictionary(spark, path).learn(rows("2026-01-01T00:00:00", "1759391741", None))
+    again = InstantDictionary(spark, path)
+    again.learn(rows("2026-01-01T00:00:00", "n/a"))
+    again.learn(rows("n/a"))
+    assert sorted(r.raw for r in again.entries().collect()) == ["1759391741", "2026-01-01T00:00:00", "n/a"]
+    assert again.attach(rows("n/a", "1759391741")).where("instant IS NOT NULL").count() == 1
