@@ -9,7 +9,7 @@ from ledgerloom.functions import keys as K
 from ledgerloom.llm import abuse
 from ledgerloom.llm.bpe import encode, token_counts
 from ledgerloom.llm.linkage import Linkage, matches
-from ledgerloom.llm.packing import fill_containers
+from ledgerloom.llm.packing import CAPACITY, fill_containers
 from ledgerloom.storage import materialize
 
 
@@ -58,17 +58,47 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("account_id", "user_id")
 
 
+def p6_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of all matches: counts of accounts with several users, of ids that no register has, of confidences
+    out of range."""
+    found = materialize(p6_matches(spark, sf_dir), "matches")
+    a, u = table(spark, sf_dir, "account_profile").select("account_id"), table(spark, sf_dir, "user_profile").select("user_id")
+    twice = found.groupBy("account_id").count().where("count > 1").agg(F.count(F.lit(1)).alias("accounts_twice"))
+    strangers = found.join(a, "account_id", "left_anti").select("account_id").unionByName(found.join(u, "user_id", "left_anti").select("account_id"))
+    strange, off = strangers.agg(F.count(F.lit(1)).alias("unregistered")), found.agg(F.count_if(~F.col("confidence").between(0.5, 1)).alias("out_of_range"))
+    return twice.join(strange).join(off)
+
+
 # --------------------------------------------------------------------------------------------------------- 8: encoding
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p8_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, and those without a token: the null and the empty texts, no others."""
+    return p8_ids(spark, sf_dir).agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.size("ids") == 0).alias("without_tokens"))
+
+
 # ---------------------------------------------------------------------------------------------------------- 9: packing
 def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = token_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
     return fill_containers(sizes, "doc_id", "n_tokens")
 
 
+def p9_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of all containers: counts of overfull ones, of posts split though they fit, of posts whose tokens are
+    not all placed once; and the documents that have their rows."""
+    sizes = materialize(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"), "tokens")
+    filled = materialize(fill_containers(sizes, "doc_id", "n_tokens"), "containers")
+    over = filled.where("container IS NOT NULL").groupBy("container").agg(F.sum("n_tokens").alias("n")).where(F.col("n") > CAPACITY)
+    pieces = filled.groupBy("doc_id").agg(F.sum("n_tokens").alias("placed"), F.count(F.lit(1)).alias("parts"))
+    posts = sizes.join(pieces, "doc_id", "left")
+    wrong = ~F.coalesce(F.col("placed"), F.lit(-1)).eqNullSafe(F.coalesce(F.col("n_tokens").cast("long"), F.lit(0)))
+    split = (F.col("n_tokens") <= CAPACITY) & (F.col("parts") > 1)
+    checks = posts.agg(F.count_if(split).alias("split_though_fitting"), F.count_if(wrong).alias("misplaced"), F.count("placed").alias("documents"))
+    return over.agg(F.count(F.lit(1)).alias("overfull")).join(checks)
+
+
 # ---------------------------------------------------------------------------------------------------------- 10: abuse
 def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -85,9 +115,13 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p9_containers": p9_containers,
-    "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates,
+    "p6_found": p6_found, "p6_matches": p6_matches, "p6_invariants": p6_invariants, "p8_ids": p8_ids, "p8_counts": p8_counts, "p9_containers": p9_containers,
+    "p9_invariants": p9_invariants, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates,
 }
 
-#: Neither encoding, packing, label models nor boosted trees can be said in SQL; tests hold them against brute force.
-ORACLES: dict[str, str] = {}
+#: Neither encoding, packing, label models nor boosted trees can be said in SQL; what must hold of their results can.
+ORACLES: dict[str, str] = {
+    "p6_invariants": "SELECT CAST(0 AS BIGINT) AS accounts_twice, CAST(0 AS BIGINT) AS unregistered, CAST(0 AS BIGINT) AS out_of_range",
+    "p8_counts": "SELECT count(*) AS documents, count(*) FILTER (coalesce(text, '') = '') AS without_tokens FROM documents",
+    "p9_invariants": "SELECT CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS split_though_fitting, CAST(0 AS BIGINT) AS misplaced, count(*) AS documents FROM documents",
+}
