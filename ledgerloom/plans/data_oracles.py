@@ -1,7 +1,6 @@
 """DuckDB statements equal to the pN_ queries that SQL can express."""
 
 from ledgerloom.functions.keys import ABSENT
-from ledgerloom.operators.units import CURRENCIES, money_graph
 
 _ABSENT = ", ".join(f"'{a}'" for a in ABSENT)
 _BARE = "regexp_replace(upper(partner_txn_id), '[^A-Z0-9]', '', 'g')"
@@ -59,12 +58,17 @@ SELECT e.break_id, 'plan_sk' AS field FROM e LEFT JOIN v USING (break_id) WHERE
 UNION ALL SELECT e.break_id, 'p_user_id' FROM e LEFT JOIN u USING (break_id) WHERE e.p_user_id IS DISTINCT FROM u.uid"""
 
 
-def _units() -> str:
-    graph, canonical = money_graph()
-    quote = lambda u: u.replace("'", "''")
-    rows = ", ".join(f"('{quote(u)}', '{to.upper()}', {float(f.scale)!r}::DOUBLE, {u == to})" for u, (to, f) in sorted(graph.compositions(canonical).items()))
-    minor = ", ".join(f"('{c[0]}', {10.0 ** -c[1]!r}::DOUBLE)" for c in CURRENCIES)
-    return f"units AS (SELECT * FROM (VALUES {rows}) t(unit, currency, scale, plain)), minors AS (SELECT * FROM (VALUES {minor}) t(currency, scale))"
+#: Written out by themselves, not taken from the graph that they check: digits of the minor unit, and names with their scale.
+_UNITS = """money(code, digits) AS (VALUES ('ngn', 2), ('pkr', 2), ('try', 2), ('bdt', 2), ('eur', 2), ('lkr', 2), ('usd', 2), ('cad', 2), ('kwd', 3), ('jpy', 0), ('inr', 2)),
+named(unit, code, scale) AS (VALUES ('naira', 'ngn', 1.0::DOUBLE), ('₦', 'ngn', 1), ('kobo', 'ngn', 0.01), ('rupees', 'pkr', 1), ('rupee', 'pkr', 1), ('whole rupees', 'pkr', 1), ('rupees (pk)', 'pkr', 1),
+  ('rs', 'pkr', 1), ('rs pkr', 'pkr', 1), ('rs (whole)', 'pkr', 1), ('paisa', 'pkr', 0.01), ('paise', 'pkr', 0.01), ('lira', 'try', 1), ('₺', 'try', 1), ('kurus', 'try', 0.01), ('kuruş', 'try', 0.01),
+  ('taka', 'bdt', 1), ('৳', 'bdt', 1), ('poisha', 'bdt', 0.01), ('euro', 'eur', 1), ('€', 'eur', 1), ('eurocent', 'eur', 0.01), ('euro cents', 'eur', 0.01), ('rupees (lk)', 'lkr', 1), ('rs lkr', 'lkr', 1),
+  ('lkr cents', 'lkr', 0.01), ('us$', 'usd', 1), ('$', 'usd', 1), ('us dollar', 'usd', 1), ('us dollars', 'usd', 1), ('us cents', 'usd', 0.01), ('c$', 'cad', 1), ('ca$', 'cad', 1), ('dollars ca', 'cad', 1),
+  ('cad cents', 'cad', 0.01), ('kd', 'kwd', 1), ('dinar kw', 'kwd', 1), ('fils', 'kwd', 0.001), ('yen', 'jpy', 1), ('¥', 'jpy', 1), ('rupees (in)', 'inr', 1), ('rs inr', 'inr', 1), ('₹', 'inr', 1), ('inr paise', 'inr', 0.01)),
+spelt AS (SELECT unit, code, scale FROM named UNION ALL SELECT code || tail, code, CASE kind WHEN 'main' THEN 1.0 WHEN 'minor' THEN pow(10, -digits) ELSE 1000.0 END
+  FROM money, (VALUES ('', 'main'), (' major', 'main'), (' minor', 'minor'), (' minor unit', 'minor'), (' minor units', 'minor'), (' thousand', 'k'), (' x1000', 'k')) f(tail, kind)
+  UNION ALL SELECT 'k' || code, code, 1000.0 FROM money UNION ALL SELECT code || '/' || CAST(pow(10, digits) AS BIGINT), code, pow(10, -digits) FROM money WHERE digits > 0),
+units AS (SELECT unit, upper(code) AS currency, scale, unit = code AS plain FROM spelt), minors AS (SELECT upper(code) AS currency, pow(10, -digits) AS scale FROM money)"""
 
 
 def _text(column: str) -> str:
@@ -96,7 +100,7 @@ fed2 AS (SELECT *, TRY_CAST(CASE WHEN regexp_matches(n, '\..*,[^.]*$') OR (regex
 tb AS (SELECT source_file, source_row, "transaction".value_minor AS number, "transaction".currency AS ccy, remark, (SELECT any_value(currency) FROM operator_registry WHERE operator_code = 'telco_b') AS own FROM telco_b_feed),
 own AS (SELECT p.*, g.currency AS own, CAST(NULL AS VARCHAR) AS none FROM partner_txn p LEFT JOIN operator_registry g USING (operator_code) WHERE amount_original IS NOT NULL)"""
 _P4 = f"""
-WITH {_units()}, {_QUOTES}, {_FED},
+WITH {_UNITS}, {_QUOTES}, {_FED},
 ours AS {_main("own", "currency_original", "none", "own", "CAST(amount_original AS DOUBLE)", "1.0", "event_id, source_file, source_row, CAST(amount_reporting AS DOUBLE) AS reporting, least(coalesce(business_date, CAST(txn_ts_utc AT TIME ZONE 'UTC' AS DATE)), (SELECT max(rate_date) FROM daily)) AS day")},
 raw AS (SELECT * FROM {_main("fed2", "ccy", "remark", "own", "number", "1.0", "source_file, source_row")} UNION ALL
   SELECT * FROM {_main("tb", "ccy", "remark", "own", "number", "coalesce(m.scale, 0.01)", "source_file, source_row")})

@@ -113,3 +113,16 @@ def test_change_data(spark):
     rows = cdc.platform_ledger(cdc.latest_versions(initial, "sub_id"), cdc.latest_versions(success, "recursion_id"), cdc.latest_versions(failure, "failure_id")).collect()
     assert {(r.txn_type, r.amount_original, r.partner_txn_id) for r in rows} == {("subscription_success", Decimal(2), "T1"), ("recursion_success", Decimal(3), None), ("recursion_failure", Decimal(0), None)}
     assert cdc.read_entity(spark, f"{shared_dir(spark)}/nowhere", "sub_initial", ["a"]) is None
+
+
+def test_reporting_zone_canonical_types_and_offsets(spark):
+    raw = spark.createDataFrame(
+        [("1", "OK", "2026-05-29T23:30:00"), ("2", "ODD", "2026-05-29T20:00:00Z"), ("3", "?", "29-05-2026"), ("4", "OK", "2026-05-29 23:30:00+05:30")],
+        "id string, kind string, at string",
+    ).withColumns({"raw_row_hash": F.lit(""), "operator_code": F.lit("op"), "source_file": F.lit("f"), "file_arrival_date": F.lit(None).cast("date")})
+    spec = feeds.FeedSpec("op", "csv", "UTC", "USD", {"partner_txn_id": "id", "txn_type": "kind", "txn_ts": "at"}, {"OK": "recursion_success", "ODD": "no_such_type"}, reporting_timezone="Asia/Karachi")
+    got = {r.partner_txn_id: (r.business_date, r.dq_unmapped_type) for r in feeds.conform(raw, spec).collect()}
+    assert got == {"1": (dt.date(2026, 5, 30), False), "2": (dt.date(2026, 5, 30), True), "3": (None, True), "4": (dt.date(2026, 5, 29), False)}
+    # The year of a date with hyphens is no offset.
+    form = feeds.FeedSpec("op", "csv", "UTC", "USD", {}, {"a": "b"}, ts_format="dd-MM-yyyy")
+    assert str(raw.where("id = '3'").select(feeds.parsed_instant(form, F.col("at")).alias("t")).first().t) == "2026-05-29 00:00:00"

@@ -136,6 +136,8 @@ def test_full_run_empties_days_that_yield_nothing(spark):
     tables.replace("fx_rate_daily", schemas.empty(spark, "fx_rate_daily"))
     cli.run_day(tables, None, "2026-05")
     assert tables.days(cli.FACT, "business_date") == [dt.date(2026, 5, 1), DAY]
+    around = [DAY + dt.timedelta(days=n) for n in range(-7, 8)]
+    assert all("business_date=2026-05-29" in f for f in cli._ledger(tables, "platform_txn", around).inputFiles())  # other days are not listed
     tables.replace("platform_txn", i.where(F.col("business_date") == F.lit(DAY)).withColumnsRenamed({**names, "identity": "user_id"}), ["business_date"])
     cli.run_day(tables, None, "2026-05")
     assert tables.days(cli.FACT, "business_date") == [DAY] == tables.days(cli.MART, "business_date")
