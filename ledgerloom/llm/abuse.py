@@ -37,7 +37,11 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TRAIN_LIMIT, TRAIN_CHARS, LEAST_LABELS, THRESHOLD = 20_000, 40_000_000, 12, 0.5
+from ledgerloom.storage import materialize
+
+TRAIN_LIMIT, TRAIN_CHARS, LEAST_LABELS, THRESHOLD = 20_000, 8_000_000, 12, 0.5
+#: Characters that are taken apart at once (whole documents, at least one): about 60 bytes each while they are.
+CHUNK_CHARS = 1_000_000
 #: A label is doubted if its document's held-out probability of it is below this.
 DOUBT = 0.12
 #: Letters in a row that the learned lexicons weigh, and the slots their hashes fall into.
@@ -197,7 +201,7 @@ class _Vocabulary(dict):
 
     def __init__(self):
         super().__init__()
-        self.rows: list[tuple[bool, ...]] = []
+        self.table = np.zeros((1 << 14, _WIDTH), np.float32)
         self.plain: list[str] = []
 
     def __missing__(self, token: str) -> int:
@@ -205,19 +209,17 @@ class _Vocabulary(dict):
         found = categories_of(word)
         mixed = len(token) > 2 and bool(_SIGNS.search(token, 1)) and bool(_LATIN.search(token)) and not token[0].isdigit()
         row = (*(c in found for c in CATEGORIES), disguised, mixed, len(token) > 1 and token.isupper() and token.isalpha())
-        self[token] = len(self.rows)
-        self.rows.append(row)
+        k = self[token] = len(self.plain)
+        if k == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[k] = row
         self.plain.append(word.translate(_LEET) if mixed and not disguised else word)
-        return self[token]
+        return k
 
     def empty(self) -> None:
         self.clear()
-        self.rows.clear()
         self.plain.clear()
 
-    def flags(self) -> np.ndarray:
-        return np.array(self.rows, dtype=np.float32).reshape(len(self.rows), _WIDTH)
-
 
 _VOCABULARY = _Vocabulary()
 
@@ -258,7 +260,7 @@ def parse(texts: list[str | None]) -> Parsed:
                 marks.append((s.count("!") + s.count("*")) / len(s))
                 plain.append("".join([written[i] for i in here]))
     n = len(docs)
-    flags = number.flags()[np.array(ids, dtype=np.int64)] if ids else np.zeros((0, _WIDTH), np.float32)
+    flags = number.table[np.array(ids, dtype=np.int64)] if ids else np.zeros((0, _WIDTH), np.float32)
     sentence = np.repeat(np.arange(n), np.array(lengths, dtype=np.int64)) if n else np.zeros(0, np.int64)
     codes = np.frombuffer("\n".join(plain).encode("utf-32-le", "replace"), dtype=np.uint32)
     of = np.cumsum(codes == 10)
@@ -276,8 +278,8 @@ def parse(texts: list[str | None]) -> Parsed:
         mixed = h[:m] if order == short else h[:m] * np.uint64(0x9E3779B97F4A7C15) + h[order - short : order - short + m]
         mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         inside = of[:m] == of[order - 1 : order - 1 + m]
-        slots.append((mixed[inside] >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64))
-        where.append(of[:m][inside])
+        slots.append((mixed[inside] >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int32))
+        where.append(of[:m][inside].astype(np.int32))
     return Parsed(len(texts), np.array(docs, dtype=np.int64), flags, sentence, np.array(marks), tuple(slots), tuple(where))
 
 
@@ -309,7 +311,10 @@ class _Shown:
 
     @staticmethod
     def of(parsed: Parsed) -> _Shown:
-        once = lambda unit, slots: np.divmod(_distinct(unit * BUCKETS + slots), BUCKETS)
+        def once(unit: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            pairs = _distinct(unit.astype(np.int64) * BUCKETS + slots)
+            return (pairs // BUCKETS).astype(np.int32), (pairs % BUCKETS).astype(np.int32)
+
         grams = list(zip(parsed.grams, parsed.gram_sentence))
         return _Shown(parsed, tuple(once(parsed.doc[where], slots) for slots, where in grams), tuple(once(where, slots) for slots, where in grams))
 
@@ -326,7 +331,7 @@ def learn_lexicons(shown: _Shown, y: np.ndarray, use: np.ndarray) -> tuple[np.nd
     bad, good = use & (y > 0.5), use & (y <= 0.5)
     first = [_odds(_tally(s, good), _tally(s, bad), good.sum(), bad.sum()) for s in shown.of_documents]
     # The second pass: of a positive document its worst sentence stands for all, unless nothing in it looks bad at all.
-    total = sum(_means(parsed, k, w)[0] for k, w in enumerate(first))
+    total = sum(_mean(parsed, k, w[parsed.grams[k]]) for k, w in enumerate(first))
     worst = _worst(parsed, total)
     picked = np.zeros(len(parsed.doc), dtype=bool)
     picked[worst[worst >= 0]] = True
@@ -335,16 +340,21 @@ def learn_lexicons(shown: _Shown, y: np.ndarray, use: np.ndarray) -> tuple[np.nd
     return tuple(_odds(_tally(s, good_s), _tally(s, bad_s), good_s.sum(), bad_s.sum()) for s in shown.of_sentences)
 
 
+def _mean(parsed: Parsed, k: int, values: np.ndarray) -> np.ndarray:
+    """By sentence, of one order: the mean of a value of its slots; 0 where it has none."""
+    n, where = len(parsed.doc), parsed.gram_sentence[k]
+    return np.bincount(where, values, n) / np.maximum(np.bincount(where, minlength=n), 1)
+
+
 def _means(parsed: Parsed, k: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By sentence, of one order: the mean weight, the greatest, and the share of slots that speak for it."""
     n, where = len(parsed.doc), parsed.gram_sentence[k]
     w = weights[parsed.grams[k]]
-    count = np.maximum(np.bincount(where, minlength=n), 1)
     most = np.zeros(n, dtype=np.float32)
     if len(w):
         starts = np.flatnonzero(np.diff(where, prepend=-1))  # slots come in the order of their sentences
         most[where[starts]] = np.maximum(np.maximum.reduceat(w, starts), 0)
-    return np.bincount(where, w, n) / count, most, np.bincount(where, w > 1, n) / count
+    return _mean(parsed, k, w), most, _mean(parsed, k, w > 1)
 
 
 def _worst(parsed: Parsed, badness: np.ndarray) -> np.ndarray:
@@ -582,7 +592,7 @@ def fit(texts: list[str], y: np.ndarray, folds: int = 5) -> Model:
     doubted = (np.abs(y - p) > 1 - DOUBT) & ~((y > 0.5) & (x[:, _EVIDENCE] >= 1))
     if min((y[~doubted] > 0.5).sum(), (y[~doubted] <= 0.5).sum()) >= LEAST_LABELS:
         use = ~doubted
-        x, held = _held_out(shown, y, use, part)
+    x, held = _held_out(shown, y, use, part)
     knots, values = isotonic(held[use], y[use])
     lexicons = learn_lexicons(shown, y, use)
     kept = tuple((np.flatnonzero(w).astype(np.int32), w[w != 0].astype(np.float16)) for w in lexicons)
@@ -595,9 +605,12 @@ def labelled(documents: DataFrame, labels: DataFrame, row_id: str, text: str, la
     voted = labels.where(F.col(label).isNotNull() & F.col(row_id).isNotNull()).groupBy(F.col(row_id).alias("id")).agg(F.avg(label).alias("y"))
     voted = voted.where("y != 0.5").orderBy(F.xxhash64("id"), "id").limit(limit)
     texts = documents.select(F.col(row_id).alias("id"), F.col(text).alias("text"))
-    sample = texts.join(F.broadcast(voted), "id").where("text IS NOT NULL AND text != ''").select("id", "y", "text").dropDuplicates(["id"])
-    upto = F.sum(F.length("text")).over(Window.orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0))  # of a sample: one task is enough
-    return sample.withColumn("h", F.xxhash64("id")).withColumn("upto", upto).where(F.col("upto") <= chars).select("h", "y", "text")
+    sample = texts.join(F.broadcast(voted), "id").where("text IS NOT NULL AND text != ''").select("id", F.xxhash64("id").alias("h"), "y", "text")
+    sample = materialize(sample.dropDuplicates(["id"]), "labelled")
+    # Lengths only, of at most ``limit`` documents, pass through one task.
+    upto = F.sum("n").over(Window.orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0))
+    kept = sample.select("id", "h", F.length("text").alias("n")).withColumn("upto", upto).where(F.col("upto") <= chars)
+    return sample.join(F.broadcast(kept.select("id")), "id", "left_semi").select("h", "y", "text")
 
 
 def train(documents: DataFrame, labels: DataFrame, row_id: str, text: str, label: str, limit: int = TRAIN_LIMIT) -> Model:
@@ -609,6 +622,19 @@ def train(documents: DataFrame, labels: DataFrame, row_id: str, text: str, label
     return fit(rows["text"].tolist(), (rows["y"].to_numpy() > 0.5).astype(float))
 
 
+def chunks(texts: list[str | None], most: int = CHUNK_CHARS) -> Iterator[list[str | None]]:
+    """The texts in order, as many at once as have at most ``most`` characters together."""
+    at = size = 0
+    for k, text in enumerate(texts):
+        n = len(text or "")
+        if k > at and size + n > most:
+            yield texts[at:k]
+            at, size = k, 0
+        size += n
+    if at < len(texts):
+        yield texts[at:]
+
+
 def score(documents: DataFrame, row_id: str, text: str, source: str, model: Model) -> DataFrame:
     """row id, source and the probability that the text holds abusive, hateful or sexual language."""
     kind = documents.schema[row_id].dataType.simpleString()
@@ -618,7 +644,8 @@ def score(documents: DataFrame, row_id: str, text: str, source: str, model: Mode
         tables = shared.value.tables()
         for batch in batches:
             texts = batch["text"].to_pylist()
-            p = np.where([bool(t) for t in texts], shared.value.probability(dense(parse(texts), tables)), 0.0) if texts else np.zeros(0)
+            x = [dense(parse(part), tables) for part in chunks(texts)]
+            p = np.where([bool(t) for t in texts], shared.value.probability(np.concatenate(x)), 0.0) if texts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch["id"], batch["source"], pa.array(p, pa.float64())], names=["id", "source", "probability"])
 
     rows = documents.select(F.col(row_id).alias("id"), F.col(source).cast("string").alias("source"), F.col(text).cast("string").alias("text"))

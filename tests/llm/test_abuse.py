@@ -78,6 +78,12 @@ def test_rows_do_not_depend_on_their_batch():
     assert np.allclose(together, alone)
 
 
+def test_chunks_hold_every_text_once():
+    texts = ["a" * 5, None, "b" * 20, "", "c" * 4, "d" * 4, "e" * 4]
+    assert all(len(part) == 1 or sum(len(t or "") for t in part) <= 10 for part in A.chunks(texts, 10))
+    assert sum(A.chunks(texts, 10), []) == texts and list(A.chunks([], 10)) == []
+
+
 def test_isotonic_is_monotone_and_calibrated():
     rng = np.random.default_rng(1)
     s = rng.normal(size=3000)
